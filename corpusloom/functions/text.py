@@ -58,12 +58,13 @@ def token_runs_sql(tokens: str) -> str:
     )
 
 
+def runs_norm_sql(runs: str) -> str:
+    return f"sqrt(aggregate({runs}, 0D, (a, r) -> a + CAST(r.c AS DOUBLE) * r.c))"
+
+
 def norm_sql(tokens: str) -> str:
     """Euclidean norm of all term counts of an array of tokens."""
-    return (
-        f"sqrt(aggregate({token_runs_sql(tokens)}, 0D, "
-        "(a, r) -> a + CAST(r.c AS DOUBLE) * r.c))"
-    )
+    return runs_norm_sql(token_runs_sql(tokens))
 
 
 def language_window_sql(text: str) -> str:
@@ -87,8 +88,8 @@ def token_runs(tokens: str = "tokens") -> Column:
     return F.expr(token_runs_sql(tokens))
 
 
-def norm(tokens: str = "tokens") -> Column:
-    return F.expr(norm_sql(tokens))
+def runs_norm(runs: str = "runs") -> Column:
+    return F.expr(runs_norm_sql(runs))
 
 
 def language_window(text: str = "text") -> Column:

@@ -7,7 +7,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.functions.fixed_values import KEYWORDS_PER_CLUSTER, LARGEST_CLUSTERS, MAX_CLUSTERS
-from corpusloom.operators.weights import entries
+from corpusloom.operators.weights import Weighting, entries
 
 # Largest number of center coordinates sent to every task: 128 MB of doubles.
 # The defaults (100 clusters, 25,000 terms) need 2.5 million.
@@ -49,9 +49,20 @@ def model_centers(spark: SparkSession, model: KMeansModel) -> DataFrame:
     return arrays.select("cluster_id", F.posexplode("center").alias("idx", "w")).filter("w <> 0")
 
 
-def seed_centers(vectors: DataFrame, k: int, column: str = "tfidf") -> DataFrame:
-    """(cluster_id, idx, w): the first k documents by key that have a vector."""
-    usable = vectors.filter(F.exists(F.unwrap_udt(column)["values"], lambda v: v != 0))
+def seed_centers(docs: DataFrame, fitted: Weighting, k: int, column: str = "tfidf") -> DataFrame:
+    """(cluster_id, idx, w): the first k documents by key that have a vector.
+
+    Looks at the first 2k documents, then at twice as many until k of them
+    have a vector, instead of computing the vector of every document.
+    """
+    n, found = k, 0
+    while found < k:
+        n = 2 * n
+        head = fitted.vectors(docs.orderBy("doc_id").limit(n))
+        usable = head.filter(F.exists(F.unwrap_udt(column)["values"], lambda v: v != 0))
+        found = usable.count()
+        if n >= fitted.documents:
+            break
     first = usable.select("doc_id", column).orderBy("doc_id").limit(k)
     numbered = first.withColumn(
         "cluster_id", (F.row_number().over(Window.orderBy("doc_id")) - 1).cast("int")
@@ -146,7 +157,7 @@ def centroids(assigned: DataFrame, column: str = "tfidf") -> DataFrame:
         F.array_append(inside["values"], F.lit(1.0)).alias("v"),
     )
     sums = (
-        assigned.select("cluster_id", F.explode(marked).alias("e"))
+        assigned.select("cluster_id", F.explode_outer(marked).alias("e"))
         .groupBy("cluster_id", F.col("e.i").alias("idx"))
         .agg(F.sum("e.v").alias("total"))
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions.fixed_values import MIN_KEYWORD_HITS
-from corpusloom.functions.text import tokens
+from corpusloom.functions.text import quoted, tokens, tokens_sql
 
 # Largest keyword list kept in the filter expression; longer ones are joined.
 INLINE_KEYWORDS = 10_000
@@ -30,10 +30,10 @@ def with_keywords(
     if not head:
         return docs.filter(F.lit(min_hits <= 0))
     if len(head) <= inline:
-        hits = F.filter(tokens("text"), lambda t: t.isin(head))
+        hits = F.expr(f"filter({tokens_sql('text')}, t -> t IN ({quoted(head)}))")
         return docs.filter(F.size(hits) >= min_hits)
     found = (
-        docs.select("doc_id", F.explode(tokens("text")).alias("term"))
+        docs.select("doc_id", F.explode_outer(tokens("text")).alias("term"))
         .join(terms, "term", "left_semi")
         .groupBy("doc_id")
         .count()

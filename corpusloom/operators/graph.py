@@ -6,7 +6,7 @@ for ``jaccard_edges`` the operators take edge tables of any size.
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from corpusloom.session import cut_lineage
+from corpusloom.session import stored
 
 
 def jaccard_edges(members: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(ends).alias("e"), "weight").select("e.node", "e.neighbour", "weight")
 
 
-def communities(edges: DataFrame, rounds: int, checkpoint_every: int = 2) -> DataFrame:
+def communities(edges: DataFrame, rounds: int, store_every: int = 2) -> DataFrame:
     """(node, label) after synchronous label propagation.
 
     Every node starts with itself as label and takes, each round, the label
@@ -52,7 +52,7 @@ def communities(edges: DataFrame, rounds: int, checkpoint_every: int = 2) -> Dat
     minimum, so a node with very many neighbours is never in one task whole.
     In the join with labels, its edges are split by adaptive skew handling.
     """
-    links = cut_lineage(both_ways(edges))
+    links = stored(both_ways(edges), "links")
     labels = links.select("node").distinct().withColumn("label", F.col("node"))
     for n in range(1, rounds + 1):
         votes = (
@@ -62,8 +62,8 @@ def communities(edges: DataFrame, rounds: int, checkpoint_every: int = 2) -> Dat
         )
         choice = F.min(F.struct((-F.round("weight", 9)).alias("w"), "label"))
         labels = votes.groupBy("node").agg(choice.alias("best")).select("node", "best.label")
-        if n % checkpoint_every == 0 and n < rounds:
-            labels = cut_lineage(labels)
+        if n % store_every == 0 and n < rounds:
+            labels = stored(labels, "labels")
     return labels
 
 

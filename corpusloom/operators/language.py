@@ -24,7 +24,8 @@ def fit_language_model(labelled: DataFrame, max_trigrams: int = MAX_TRIGRAMS) ->
     )
     grams = split.transform(labelled.select("text", "lang").filter("lang IS NOT NULL"))
     kept = (
-        grams.select(F.explode("trigrams").alias("gram"))
+        grams.select(F.explode_outer("trigrams").alias("gram"))
+        .filter("gram IS NOT NULL")
         .groupBy("gram")
         .count()
         .orderBy(F.desc("count"), "gram")

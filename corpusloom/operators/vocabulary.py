@@ -14,7 +14,8 @@ def document_frequency(docs: DataFrame) -> DataFrame:
     than a rare one.
     """
     return (
-        docs.select(F.explode(F.array_distinct(tokens("text"))).alias("term"))
+        docs.select(F.explode_outer(F.array_distinct(tokens("text"))).alias("term"))
+        .filter("term IS NOT NULL")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )

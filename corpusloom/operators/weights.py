@@ -3,6 +3,10 @@
 A document's counts, norm and vector are built inside its row. None of them
 passes through a shuffle; only document frequencies, at most one row per term
 and task, do.
+
+Computed arrays are unnested with ``explode_outer`` here and in the other
+modules: for ``explode`` the optimizer adds filters on the array that compute
+it again, further down.
 """
 
 from dataclasses import dataclass
@@ -14,14 +18,15 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions.fixed_values import VOCABULARY_SIZE
-from corpusloom.functions.text import norm_sql, token_runs, token_runs_sql, tokens, tokens_sql
+from corpusloom.functions.text import norm_sql, runs_norm, token_runs, token_runs_sql, tokens, tokens_sql
 from corpusloom.operators.vocabulary import document_frequency, frequent_terms
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(doc_id, term, c) for every token of every document."""
     runs = F.expr(token_runs_sql(tokens_sql("text")))
-    return docs.select("doc_id", F.explode(runs).alias("run")).select("doc_id", "run.term", "run.c")
+    counted = docs.select("doc_id", F.explode_outer(runs).alias("run")).filter("run IS NOT NULL")
+    return counted.select("doc_id", "run.term", "run.c")
 
 
 def document_norms(docs: DataFrame) -> DataFrame:
@@ -70,8 +75,8 @@ class Weighting:
         counted = (
             docs.select(*ids, tokens("text").alias("tokens"))
             .select(*ids, token_runs("tokens").alias("runs"))
-            .select(*ids, F.explode("runs").alias("run"), F.expr(
-                "sqrt(aggregate(runs, 0D, (a, r) -> a + CAST(r.c AS DOUBLE) * r.c))").alias("norm"))
+            .select(*ids, "runs", runs_norm("runs").alias("norm"))
+            .select(*ids, "norm", F.explode_outer("runs").alias("run"))
             .select(*ids, "run.term", "run.c", "norm")
         )
         known = F.broadcast(self.vocabulary(docs.sparkSession))
@@ -124,6 +129,6 @@ def fit_weighting(
 def entries(vectors: DataFrame, column: str, *ids: str) -> DataFrame:
     """Long form of a vector column: (ids..., idx, value) for its stored entries."""
     inside = F.unwrap_udt(column)
-    return vectors.select(
-        *ids, F.explode(F.arrays_zip(inside["indices"].alias("i"), inside["values"].alias("v"))).alias("e")
-    ).select(*ids, F.col("e.i").alias("idx"), F.col("e.v").alias("value"))
+    pairs = F.arrays_zip(inside["indices"].alias("i"), inside["values"].alias("v"))
+    exploded = vectors.select(*ids, F.explode_outer(pairs).alias("e")).filter("e IS NOT NULL")
+    return exploded.select(*ids, F.col("e.i").alias("idx"), F.col("e.v").alias("value"))

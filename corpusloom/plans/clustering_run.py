@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.operators import clusters, documents, language, reports, vocabulary
 from corpusloom.operators.weights import Weighting, fit_weighting
-from corpusloom.session import scratch_path
+from corpusloom.session import scratch_path, spread, stored
 from corpusloom.sources import result_tables, word_lists
 
 
@@ -18,7 +18,7 @@ def label_corpus(docs: DataFrame, model: PipelineModel) -> DataFrame:
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "labelled")
-    labelled = language.label_language(docs.select("doc_id", "text"), model)
+    labelled = language.label_language(spread(docs.select("doc_id", "text")), model)
     labelled.withColumnRenamed("predicted", "lang").write.partitionBy("lang").parquet(path)
     return spark.read.parquet(path)
 
@@ -55,13 +55,13 @@ def cluster_documents(
     the reports start from them instead of from text.
     """
     spark = docs.sparkSession
-    vectors = _stored(weighting.vectors(docs.select("doc_id", "text")).select("doc_id", "tfidf"), "vectors")
+    vectors = stored(weighting.vectors(docs.select("doc_id", "text")).select("doc_id", "tfidf"), "vectors")
     k = clusters.cluster_count(weighting.documents)
     model = clusters.fit_kmeans(vectors, k, seed, partitions)
     centers = clusters.model_centers(spark, model)
     found = len(model.clusterCenters())
     assignment = clusters.nearest_center(vectors, centers, found, len(weighting.terms))
-    return _stored(assignment, "assignment"), centers, found
+    return stored(assignment, "assignment"), centers, found
 
 
 def run_clustering(
@@ -103,8 +103,3 @@ def store_clusters(docs, assignment, centers, known, k: int, root: str, job_id:
     largest = clusters.largest_clusters(sizes)
     store(reports.ordered_top_documents(top, largest), "cluster_topdocs")
 
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)

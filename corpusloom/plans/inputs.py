@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from corpusloom.session import spread
+
 NOT_PLAIN = "application/warc-fields"
 
 
@@ -9,10 +11,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, lang, text) of all documents, for work on their text."""
+    return spread(table(spark, folder, "documents").select("doc_id", "lang", "text"), "doc_id")
+
+
 def english(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, text) of the English documents."""
-    docs = table(spark, folder, "documents")
-    return docs.filter("lang = 'en'").select("doc_id", "text")
+    return texts(spark, folder).filter("lang = 'en'").select("doc_id", "text")
 
 
 def raw_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,7 +34,8 @@ def raw_records(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("\nContent-Length: "), F.octet_length("text").cast("string"),
         F.lit("\n\n"), "text", F.lit("\n"),
     )
-    return table(spark, folder, "documents").select(F.col("source").alias("file"), value.alias("value"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "source", "text"), "doc_id")
+    return docs.select(F.col("source").alias("file"), value.alias("value"))
 
 
 def file_paths(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,15 +5,15 @@ so that results compare with an independent SQL engine.
 """
 
 from dataclasses import dataclass
-from functools import wraps
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions import text
 from corpusloom.operators import clusters, documents, graph, language, reports, vocabulary, weights
 from corpusloom.plans import inputs
-from corpusloom.plans.inputs import english, table
-from corpusloom.session import scratch_path
+from corpusloom.plans.inputs import english, table, texts
+from corpusloom.session import scratch_path, stored
 from corpusloom.sources import backlog, crawl_text, result_tables, word_lists
 
 QUERIES = {}
@@ -145,7 +145,7 @@ def english_documents(spark, folder):
 @query("F2_keyword_documents")
 def keyword_documents(spark, folder):
     words = word_lists.words_of(table(spark, folder, "benchmark"), "text")
-    return documents.with_keywords(table(spark, folder, "documents"), words).select("doc_id")
+    return documents.with_keywords(texts(spark, folder), words).select("doc_id")
 
 
 @query("F3_document_texts")
@@ -179,20 +179,21 @@ def sampled_documents(spark, folder):
 
 @query("P1_language_window")
 def language_window(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder)
     return docs.select("doc_id", text.language_window("text").alias("window"))
 
 
 @query("P2_tokens")
 def document_tokens(spark, folder):
-    docs = table(spark, folder, "documents")
-    return docs.select("doc_id", F.posexplode(text.tokens("text")).alias("pos", "term"))
+    docs = texts(spark, folder)
+    exploded = docs.select("doc_id", F.posexplode_outer(text.tokens("text")).alias("pos", "term"))
+    return exploded.filter("pos IS NOT NULL")
 
 
 @query("P3_stop_words_removed")
 def stop_words_removed(spark, folder):
     before, after = F.expr(text.raw_tokens_sql("text")), text.tokens("text")
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         "doc_id", (F.size(before) - F.size(after)).alias("removed"), F.size(after).alias("kept")
     )
 
@@ -227,7 +228,7 @@ def array_text(spark, folder):
 
 @query("L1_language_predict")
 def language_predict(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    docs = texts(spark, folder)
     model = language.fit_language_model(docs)
     return language.label_language(docs, model).select("doc_id", "lang", "predicted")
 
@@ -317,12 +318,12 @@ def corpus_size(spark, folder):
 
 @query("A3_term_counts")
 def term_counts(spark, folder):
-    return weights.term_counts(table(spark, folder, "documents"))
+    return weights.term_counts(texts(spark, folder))
 
 
 @query("A4_document_norms")
 def document_norms(spark, folder):
-    return weights.document_norms(table(spark, folder, "documents"))
+    return weights.document_norms(texts(spark, folder))
 
 
 @query("A5_idf")
@@ -377,11 +378,14 @@ class Clustering:
     vectors: DataFrame
     k: int
     first: DataFrame
-    centers: DataFrame
 
-    @property
+    @cached_property
+    def centers(self) -> DataFrame:
+        return stored(clusters.centroids(self.first, "kept"), "centers")
+
+    @cached_property
     def assignment(self) -> DataFrame:
-        return self.nearest(self.vectors)
+        return stored(self.nearest(self.vectors), "assignment")
 
     def nearest(self, vectors: DataFrame) -> DataFrame:
         return clusters.nearest_center(vectors, self.centers, self.k, len(self.fitted.terms))
@@ -410,10 +414,9 @@ def clustering(spark, folder) -> Clustering:
     k = clusters.cluster_count(fitted.documents)
     first = clusters.nearest_center(
         vectors.withColumn("kept", F.col("tfidf")),
-        clusters.seed_centers(vectors, k), k, len(fitted.terms),
+        clusters.seed_centers(docs, fitted, k), k, len(fitted.terms),
     )
-    centers = clusters.centroids(first, "kept")
-    return Clustering(docs, fitted, vectors, k, first.drop("kept"), centers)
+    return Clustering(docs, fitted, vectors, k, first)
 
 
 @query("M3_cluster_count")

@@ -1,4 +1,4 @@
-"""Where a run may put files that outlive one task: the shared folder."""
+"""Shared folder for tables that outlive one task, and row layout of inputs."""
 
 import tempfile
 import uuid
@@ -13,15 +13,12 @@ def shared_folder(spark: SparkSession) -> str:
     cluster a machine-local folder would be lost with the machine, so the
     setting is required there.
     """
-    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and context.master.startswith("local"):
+    if folder is None and spark.sparkContext.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     if folder is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
     return folder
 
 
@@ -30,7 +27,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: iteration plans stay short and survive lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Cuts the lineage: later steps neither repeat the work nor depend on the
+    executors that did it. Computes ``df`` once, unlike an eager checkpoint.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores when the input has fewer tasks than the session has cores.
+
+    Files that do not split (gz) or hold one row group leave cores idle in
+    front of heavy text work. A large input has more tasks than cores and is
+    returned as it is, so nothing large is ever moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)

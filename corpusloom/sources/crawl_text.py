@@ -3,24 +3,20 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions.text import content_type, header_field
+from corpusloom.session import spread
 
 RECORD_START = "WARC/1.0"
 
 
-def read_records(spark: SparkSession, path, spread: int | None = None) -> DataFrame:
+def read_records(spark: SparkSession, path) -> DataFrame:
     """(file, value) per record; ``value`` is header block, blank line and body.
 
     The record marker is the line separator, so a file is never read whole and
-    uncompressed files split. A gz file is one task, however many files there
-    are in parallel; ``spread`` redistributes records when there are fewer
-    files than cores, and is left out otherwise since it moves every byte.
+    uncompressed files split. A gz file is one task: with at least as many
+    files as cores all are busy, and with fewer the records are spread.
     """
     lines = spark.read.option("lineSep", "\n" + RECORD_START).text(path)
-    records = lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.regexp_replace("value", f"^{RECORD_START}", "").alias("value"),
-    )
-    return records if spread is None else records.repartition(spread)
+    return spread(lines.select(F.col("_metadata.file_path").alias("file"), "value"))
 
 
 def parse_records(records: DataFrame) -> DataFrame:
@@ -61,15 +57,13 @@ def plain_text(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("content_type") == "text/plain")
 
 
-def read_documents(
-    spark: SparkSession, path, include_headers: bool = False, spread: int | None = None
-) -> DataFrame:
+def read_documents(spark: SparkSession, path, include_headers: bool = False) -> DataFrame:
     """Plain-text documents of crawl files, keyed by record id.
 
     ``include_headers`` puts the header block in front of the text, as the
     text of a document once included it.
     """
-    parsed = plain_text(parse_records(read_records(spark, path, spread)))
+    parsed = plain_text(parse_records(read_records(spark, path)))
     text = F.concat("headers", F.lit("\n"), "text") if include_headers else F.col("text")
     key = F.when(F.col("record_id") != "", F.col("record_id")).otherwise(
         F.sha2(F.concat_ws("\n", "file", "headers", "text"), 256)

@@ -8,7 +8,7 @@ from corpusloom.functions.text import tokens
 
 def words_of(lines: DataFrame, text: str = "value") -> DataFrame:
     """Distinct terms of lines of text."""
-    return lines.select(F.explode(tokens(text)).alias("term")).distinct()
+    return lines.select(F.explode_outer(tokens(text)).alias("term")).filter("term IS NOT NULL").distinct()
 
 
 def read_word_list(spark: SparkSession, path) -> DataFrame:
