@@ -7,7 +7,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.functions.fixed_values import KEYWORDS_PER_CLUSTER, LARGEST_CLUSTERS, MAX_CLUSTERS
-from corpusloom.operators.weights import Weighting, entries
+from corpusloom.operators.weights import Weighting, coordinates, entries
 
 # Largest number of center coordinates sent to every task: 128 MB of doubles.
 # The defaults (100 clusters, 25,000 terms) need 2.5 million.
@@ -59,7 +59,7 @@ def seed_centers(docs: DataFrame, fitted: Weighting, k: int, column: str = "tfid
     while found < k:
         n = 2 * n
         head = fitted.vectors(docs.orderBy("doc_id").limit(n))
-        usable = head.filter(F.exists(F.unwrap_udt(column)["values"], lambda v: v != 0))
+        usable = head.filter(F.exists(coordinates(column)[1], lambda v: v != 0))
         found = usable.count()
         if n >= fitted.documents:
             break
@@ -67,7 +67,7 @@ def seed_centers(docs: DataFrame, fitted: Weighting, k: int, column: str = "tfid
     numbered = first.withColumn(
         "cluster_id", (F.row_number().over(Window.orderBy("doc_id")) - 1).cast("int")
     )
-    return entries(numbered, column, "cluster_id").withColumnRenamed("value", "w").filter("w <> 0")
+    return entries(numbered, column, "cluster_id").withColumnRenamed("value", "w")
 
 
 def nearest_center(
@@ -89,9 +89,8 @@ def nearest_center(
     for row in centers.select("cluster_id", "idx", "w").toLocalIterator():
         matrices[row.cluster_id // block][row.idx, row.cluster_id % block] = row.w
     context = vectors.sparkSession.sparkContext
-    inside = F.unwrap_udt(column)
     scored = [
-        _scorer(context.broadcast(matrix), n * block)(inside["indices"], inside["values"])
+        _scorer(context.broadcast(matrix), n * block)(*coordinates(column))
         for n, matrix in enumerate(matrices)
     ]
     best = scored[0] if len(scored) == 1 else F.array_min(F.array(*scored))
@@ -151,10 +150,10 @@ def centroids(assigned: DataFrame, column: str = "tfidf") -> DataFrame:
     entry, idx -1 with value 1, so sums and sizes come from the same pass; at
     most clusters x terms partial sums per task are shuffled.
     """
-    inside = F.unwrap_udt(column)
+    indices, values = coordinates(column)
     marked = F.arrays_zip(
-        F.array_append(inside["indices"], F.lit(-1)).alias("i"),
-        F.array_append(inside["values"], F.lit(1.0)).alias("v"),
+        F.array_append(indices, F.lit(-1)).alias("i"),
+        F.array_append(values, F.lit(1.0)).alias("v"),
     )
     sums = (
         assigned.select("cluster_id", F.explode_outer(marked).alias("e"))

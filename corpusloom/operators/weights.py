@@ -15,7 +15,7 @@ from functools import cached_property, lru_cache
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction, SQLTransformer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.functions.fixed_values import VOCABULARY_SIZE
 from corpusloom.functions.text import norm_sql, runs_norm, token_runs, token_runs_sql, tokens, tokens_sql
@@ -126,9 +126,20 @@ def fit_weighting(
     return Weighting(tuple(sorted((r.term, r.df, r.idf) for r in rows)), documents)
 
 
-def entries(vectors: DataFrame, column: str, *ids: str) -> DataFrame:
-    """Long form of a vector column: (ids..., idx, value) for its stored entries."""
+def coordinates(column: str) -> tuple[Column, Column]:
+    """Index and value arrays of a vector column.
+
+    A vector with few zeros is kept dense, without indices.
+    """
     inside = F.unwrap_udt(column)
-    pairs = F.arrays_zip(inside["indices"].alias("i"), inside["values"].alias("v"))
-    exploded = vectors.select(*ids, F.explode_outer(pairs).alias("e")).filter("e IS NOT NULL")
+    values = inside["values"]
+    dense = F.sequence(F.lit(0), F.size(values) - 1)
+    return F.when(inside["indices"].isNull(), dense).otherwise(inside["indices"]), values
+
+
+def entries(vectors: DataFrame, column: str, *ids: str) -> DataFrame:
+    """Long form of a vector column: (ids..., idx, value) for entries that are not zero."""
+    indices, values = coordinates(column)
+    pairs = F.arrays_zip(indices.alias("i"), values.alias("v"))
+    exploded = vectors.select(*ids, F.explode_outer(pairs).alias("e")).filter("e.v <> 0")
     return exploded.select(*ids, F.col("e.i").alias("idx"), F.col("e.v").alias("value"))

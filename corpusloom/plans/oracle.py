@@ -310,7 +310,7 @@ FROM documents LEFT JOIN tok USING (doc_id) GROUP BY doc_id""",
     "M1_term_frequency": with_(*WEIGHTS) + "SELECT doc_id, term, round(tf, 6) AS tf FROM w",
     "M2_tfidf": with_(*WEIGHTS) + "SELECT doc_id, term, round(w, 6) AS w FROM w",
     "J2_document_vectors": with_(*WEIGHTS) + """
-SELECT doc_id, any_value(length(text)) AS n_chars, count(term) AS entries, round(coalesce(sum(w), 0), 6) AS total
+SELECT doc_id, any_value(length(text)) AS n_chars, count(term) FILTER (w <> 0) AS entries, round(coalesce(sum(w), 0), 6) AS total
 FROM en LEFT JOIN w USING (doc_id) GROUP BY doc_id""",
     "M3_cluster_count": with_(EN, SIZE) + "SELECT (SELECT count(*) FROM en) AS documents, k FROM size",
     "M5_lloyd_step": with_(*WEIGHTS, SIZE, SEEDS, FIRST)

@@ -356,7 +356,7 @@ def document_vectors(spark, folder):
     """Documents beside their vectors: number and sum of the entries."""
     docs = english(spark, folder)
     fitted = weights.fit_weighting(docs)
-    values = F.unwrap_udt("tfidf")["values"]
+    values = F.filter(weights.coordinates("tfidf")[1], lambda v: v != 0)
     beside = fitted.vectors(docs.withColumn("n_chars", F.length("text")))
     return beside.select(
         "doc_id",
