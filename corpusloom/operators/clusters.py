@@ -85,9 +85,14 @@ def nearest_center(
     import numpy as np
 
     block = max(1, max_cells // terms)
-    matrices = [np.zeros((terms, min(block, k - low))) for low in range(0, k, block)]
-    for row in centers.select("cluster_id", "idx", "w").toLocalIterator():
-        matrices[row.cluster_id // block][row.idx, row.cluster_id % block] = row.w
+    table = centers.select("cluster_id", "idx", "w").toArrow()
+    ids, idx, w = (column.to_numpy() for column in table.columns)
+    matrices = []
+    for low in range(0, k, block):
+        inside = (ids >= low) & (ids < low + block)
+        matrix = np.zeros((terms, min(block, k - low)))
+        matrix[idx[inside], ids[inside] - low] = w[inside]
+        matrices.append(matrix)
     context = vectors.sparkSession.sparkContext
     scored = [
         _scorer(context.broadcast(matrix), n * block)(*coordinates(column))
@@ -193,8 +198,8 @@ def cluster_keywords(
     )
 
 
-def top_documents(assignment: DataFrame) -> DataFrame:
-    """(cluster_id, doc_id, cos_sim): the most central document of each cluster.
+def top_documents(assignment: DataFrame, *carried: str) -> DataFrame:
+    """(cluster_id, doc_id, cos_sim, carried...): the most central document of each cluster.
 
     Cosines are compared after rounding to 9 places; the lower key wins a tie
     and documents without a cosine come last. A plain minimum, so tasks send
@@ -205,9 +210,10 @@ def top_documents(assignment: DataFrame) -> DataFrame:
         (-F.round("cos_sim", 9)).alias("distance"),
         "doc_id",
         "cos_sim",
+        *carried,
     )
     best = assignment.groupBy("cluster_id").agg(F.min(order).alias("best"))
-    return best.select("cluster_id", "best.doc_id", "best.cos_sim")
+    return best.select("cluster_id", *[f"best.{c}" for c in ("doc_id", "cos_sim", *carried)])
 
 
 def with_text(top: DataFrame, docs: DataFrame) -> DataFrame:

@@ -5,8 +5,10 @@ from pyspark.sql import DataFrame, functions as F
 from corpusloom.functions.fixed_values import MIN_KEYWORD_HITS
 from corpusloom.functions.text import quoted, tokens, tokens_sql
 
-# Largest keyword list kept in the filter expression; longer ones are joined.
+# Largest keyword list kept in the filter expression; longer ones are joined,
+# and sent to every task up to the second bound.
 INLINE_KEYWORDS = 10_000
+BROADCAST_KEYWORDS = 1_000_000
 
 
 def in_language(docs: DataFrame, lang: str = "en", column: str = "lang") -> DataFrame:
@@ -32,6 +34,8 @@ def with_keywords(
     if len(head) <= inline:
         hits = F.expr(f"filter({tokens_sql('text')}, t -> t IN ({quoted(head)}))")
         return docs.filter(F.size(hits) >= min_hits)
+    if terms.limit(BROADCAST_KEYWORDS + 1).count() <= BROADCAST_KEYWORDS:
+        terms = F.broadcast(terms)
     found = (
         docs.select("doc_id", F.explode_outer(tokens("text")).alias("term"))
         .join(terms, "term", "left_semi")

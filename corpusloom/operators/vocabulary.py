@@ -6,16 +6,20 @@ from corpusloom.functions.fixed_values import MIN_TOKEN_CHARS, VOCABULARY_SIZE
 from corpusloom.functions.text import tokens
 
 
+# No token is empty, so the empty term can stand for the documents themselves.
+EVERY_DOCUMENT = ""
+
+
 def document_frequency(docs: DataFrame) -> DataFrame:
-    """(term, df) over the documents.
+    """(term, df) over the documents; the empty term has the number of documents.
 
-    Terms are made distinct inside each document; what is shuffled is one
-    partial count per term and task, so a word in every document costs no more
-    than a rare one.
+    One pass gives both. Terms are made distinct inside each document; what is
+    shuffled is one partial count per term and task, so a word in every
+    document costs no more than a rare one.
     """
+    terms = F.array_append(F.array_distinct(tokens("text")), F.lit(EVERY_DOCUMENT))
     return (
-        docs.select(F.explode_outer(F.array_distinct(tokens("text"))).alias("term"))
-        .filter("term IS NOT NULL")
+        docs.select(F.explode_outer(terms).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
@@ -23,7 +27,8 @@ def document_frequency(docs: DataFrame) -> DataFrame:
 
 def frequent_terms(frequencies: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     """The ``size`` most frequent terms, as (term, df): the head of a derived vocabulary."""
-    return frequencies.orderBy(F.desc("df"), "term").limit(size)
+    terms = frequencies.filter(F.col("term") != EVERY_DOCUMENT)
+    return terms.orderBy(F.desc("df"), "term").limit(size)
 
 
 def listed_terms(words: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:

@@ -11,6 +11,7 @@ it again, further down.
 
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from math import log
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction, SQLTransformer
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.functions.fixed_values import VOCABULARY_SIZE
 from corpusloom.functions.text import norm_sql, runs_norm, token_runs, token_runs_sql, tokens, tokens_sql
-from corpusloom.operators.vocabulary import document_frequency, frequent_terms
+from corpusloom.operators.vocabulary import EVERY_DOCUMENT, document_frequency
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -34,16 +35,12 @@ def document_norms(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.expr(norm_sql(tokens_sql("text"))).alias("norm"))
 
 
-def inverse_document_frequency(frequencies: DataFrame, documents: int) -> DataFrame:
-    """(term, df, idf) with idf = ln((m + 1) / (df + 1))."""
-    idf = F.log(F.lit(documents + 1).cast("double") / (F.col("df") + 1))
-    return frequencies.select("term", "df", idf.alias("idf"))
-
-
 @dataclass(frozen=True)
 class Weighting:
     """A fitted vocabulary: ``terms`` holds (term, df, idf) in sorted order.
 
+    With m documents, idf = ln((m + 1) / (df + 1)).
+
     It is bounded by the vocabulary size and held like any Spark ML model
     state; ``documents`` is the number of documents it was fitted on.
     """
@@ -111,19 +108,30 @@ def _pipeline(session: str, terms: tuple[str, ...], idf: tuple[float, ...]) -> P
 def fit_weighting(
     docs: DataFrame, vocabulary: DataFrame | None = None, size: int = VOCABULARY_SIZE
 ) -> Weighting:
-    """Weighting of docs(doc_id, text) over a vocabulary(term), derived when not given.
+    """Weighting of docs(doc_id, text) over a vocabulary(term), derived when not given."""
+    return weighting_of(document_frequency(docs), vocabulary, size)
+
 
-    A given vocabulary must be bounded by its source (a word list), as it
-    becomes model state.
+def weighting_of(
+    frequencies: DataFrame, vocabulary: DataFrame | None = None, size: int = VOCABULARY_SIZE
+) -> Weighting:
+    """Weighting from document frequencies, in one pass over them.
+
+    The empty term, which has the number of documents, sorts in front of all
+    others. A given vocabulary must be bounded by its source (a word list), as
+    it becomes model state.
     """
-    frequencies = document_frequency(docs)
     if vocabulary is None:
-        known = frequent_terms(frequencies, size)
+        known = frequencies.orderBy(F.desc("df"), "term").limit(size + 1)
     else:
-        known = vocabulary.select("term").join(frequencies, "term", "left").fillna(0, ["df"])
-    documents = docs.count()
-    rows = inverse_document_frequency(known, documents).collect()
-    return Weighting(tuple(sorted((r.term, r.df, r.idf) for r in rows)), documents)
+        listed = vocabulary.select("term")
+        every = listed.sparkSession.createDataFrame([(EVERY_DOCUMENT,)], "term string")
+        known = listed.unionByName(every).join(frequencies, "term", "left")
+    found = {row.term: row.df or 0 for row in known.collect()}
+    documents = found.pop(EVERY_DOCUMENT, 0)
+    return Weighting(
+        tuple((t, df, log((documents + 1) / (df + 1))) for t, df in sorted(found.items())), documents
+    )
 
 
 def coordinates(column: str) -> tuple[Column, Column]:

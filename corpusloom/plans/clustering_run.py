@@ -1,67 +1,50 @@
-"""The whole clustering job: crawl files in, result tables out."""
+"""The whole clustering job: crawl documents in, result tables out.
+
+Text is read twice after it has been labelled: once for document frequencies,
+once for vectors. Everything later starts from stored tables.
+"""
+
+from urllib.parse import unquote
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.operators import clusters, documents, language, reports, vocabulary
-from corpusloom.operators.weights import Weighting, fit_weighting
-from corpusloom.session import scratch_path, spread, stored
+from corpusloom.operators.weights import weighting_of
+from corpusloom.session import scratch_path, stored
 from corpusloom.sources import result_tables, word_lists
 
 
 def label_corpus(docs: DataFrame, model: PipelineModel) -> DataFrame:
-    """Label docs(doc_id, text) and store them once, partitioned by language.
+    """(doc_id, text, lang): docs(doc_id, text) labelled, stored by language.
 
-    Later steps read this table: counting languages touches no text, one
-    language is one folder, and compressed crawl files, which do not split,
-    are read a single time.
+    Counting languages then touches no text, one language is one folder, and
+    compressed crawl files, which do not split, are read a single time.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "labelled")
-    labelled = language.label_language(spread(docs.select("doc_id", "text")), model)
+    labelled = language.label_language(docs.select("doc_id", "text"), model)
     labelled.withColumnRenamed("predicted", "lang").write.partitionBy("lang").parquet(path)
     return spark.read.parquet(path)
 
 
 def store_languages(labelled: DataFrame, root: str, job_id: int) -> None:
-    spark = labelled.sparkSession
     counts = language.language_counts(labelled)
-    named = language.named_counts(counts, word_lists.language_names(spark))
-    result_tables.store(
-        named.select(F.lit(job_id).alias("job_id"), "lang", F.col("n").alias("count")),
-        root,
-        "job_languages",
-    )
+    named = language.named_counts(counts, word_lists.language_names(labelled.sparkSession))
+    rows = named.select(F.lit(job_id).alias("job_id"), "lang", F.col("n").alias("count"))
+    result_tables.store(rows, root, "job_languages")
 
 
 def job_vocabulary(
-    docs: DataFrame, words: DataFrame | None, keywords: DataFrame | None
+    frequencies: DataFrame, words: DataFrame | None, keywords: DataFrame | None
 ) -> DataFrame:
     """Terms of a run: listed or derived words, filter words, less web noise."""
-    spark = docs.sparkSession
     if words is not None:
         base = vocabulary.listed_terms(words)
     else:
-        base = vocabulary.frequent_terms(vocabulary.document_frequency(docs))
-    return vocabulary.combine_words(base, keywords, word_lists.excluded_words(spark))
-
-
-def cluster_documents(
-    docs: DataFrame, weighting: Weighting, seed: int = 1, partitions: int | None = None
-) -> tuple[DataFrame, DataFrame, int]:
-    """(assignment, centers, k) of k-means over docs(doc_id, text).
-
-    Vectors and assignment are stored in the shared folder: the iterations and
-    the reports start from them instead of from text.
-    """
-    spark = docs.sparkSession
-    vectors = stored(weighting.vectors(docs.select("doc_id", "text")).select("doc_id", "tfidf"), "vectors")
-    k = clusters.cluster_count(weighting.documents)
-    model = clusters.fit_kmeans(vectors, k, seed, partitions)
-    centers = clusters.model_centers(spark, model)
-    found = len(model.clusterCenters())
-    assignment = clusters.nearest_center(vectors, centers, found, len(weighting.terms))
-    return stored(assignment, "assignment"), centers, found
+        base = vocabulary.frequent_terms(frequencies)
+    excluded = word_lists.excluded_words(frequencies.sparkSession)
+    return vocabulary.combine_words(base, keywords, excluded)
 
 
 def run_clustering(
@@ -73,24 +56,39 @@ def run_clustering(
     words: DataFrame | None = None,
     keywords: DataFrame | None = None,
     seed: int = 1,
+    partitions: int | None = None,
 ) -> None:
     """Label, filter, weight and cluster docs(doc_id, text); store the result tables.
 
-    ``keywords`` restricts the run to documents with at least two hits and
-    joins the vocabulary; ``words`` replaces the derived vocabulary.
+    ``words(term, pos)`` replaces the derived vocabulary; ``keywords(term)``
+    restricts the run to documents with at least two hits and joins the
+    vocabulary. ``partitions`` makes the fit independent of the file layout.
     """
     spark = docs.sparkSession
     labelled = label_corpus(docs, model)
     store_languages(labelled, root, job_id)
-    chosen = documents.in_language(labelled, lang).select("doc_id", "text")
+    chosen = documents.in_language(labelled, lang).select(
+        "doc_id", "text", F.col("_metadata.file_path").alias("file")
+    )
     if keywords is not None:
         chosen = documents.with_keywords(chosen, keywords)
-    weighting = fit_weighting(chosen, job_vocabulary(chosen, words, keywords))
-    assignment, centers, k = cluster_documents(chosen, weighting, seed)
-    store_clusters(chosen, assignment, centers, weighting.vocabulary(spark), k, root, job_id)
 
+    frequencies = stored(vocabulary.document_frequency(chosen), "frequencies")
+    weighting = weighting_of(frequencies, job_vocabulary(frequencies, words, keywords))
+    vectors = stored(weighting.vectors(chosen).select("doc_id", "file", "tfidf"), "vectors")
+
+    fitted = clusters.fit_kmeans(vectors, clusters.cluster_count(weighting.documents), seed, partitions)
+    centers = stored(clusters.model_centers(spark, fitted), "centers")
+    k = len(fitted.clusterCenters())
+    assignment = stored(
+        clusters.nearest_center(vectors, centers, k, len(weighting.terms)), "assignment"
+    )
+    store_clusters(assignment, centers, weighting.vocabulary(spark), k, root, job_id)
 
-def store_clusters(docs, assignment, centers, known, k: int, root: str, job_id: int) -> None:
+
+def store_clusters(
+    assignment: DataFrame, centers: DataFrame, known: DataFrame, k: int, root: str, job_id: int
+) -> None:
     """Sizes, keyword lists and top documents of a clustering."""
 
     def store(table, name):
@@ -99,7 +97,12 @@ def store_clusters(docs, assignment, centers, known, k: int, root: str, job_id:
     sizes = clusters.cluster_sizes(assignment, k)
     store(sizes.withColumn("cluster_label", F.lit(None).cast("string")), "job_clusters")
     store(reports.keyword_lists(clusters.cluster_keywords(centers, known)), "cluster_keywords")
-    top = clusters.with_text(clusters.top_documents(assignment), docs)
-    largest = clusters.largest_clusters(sizes)
-    store(reports.ordered_top_documents(top, largest), "cluster_topdocs")
+    top = stored(clusters.top_documents(assignment, "file"), "top")
+    texts = clusters.with_text(top.drop("file"), files_of(top))
+    store(reports.ordered_top_documents(texts, clusters.largest_clusters(sizes)), "cluster_topdocs")
+
 
+def files_of(top: DataFrame) -> DataFrame:
+    """Only the files that hold a top document: at most one per cluster."""
+    files = [unquote(row.file) for row in top.select("file").distinct().collect()]
+    return top.sparkSession.read.parquet(*files).select("doc_id", "text")

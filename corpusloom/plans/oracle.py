@@ -153,7 +153,7 @@ JACCARD = """edges AS MATERIALIZED (
   SELECT src, dst, i / (p.n + q.n - i) AS weight
   FROM shared JOIN n p ON p.cluster_id = src JOIN n q ON q.cluster_id = dst)"""
 DOCUMENT_EDGES = """edges AS MATERIALIZED (
-  SELECT 'd:' || doc_id AS src, 't:' || term AS dst, w AS weight FROM w WHERE w > 0)"""
+  SELECT doc_id AS src, -1 - idx AS dst, w AS weight FROM w WHERE w > 0)"""
 
 
 def propagated(rounds: int) -> list[str]:

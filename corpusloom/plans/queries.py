@@ -328,9 +328,8 @@ def document_norms(spark, folder):
 
 @query("A5_idf")
 def idf(spark, folder):
-    docs = english(spark, folder)
-    known = vocabulary.frequent_terms(vocabulary.document_frequency(docs))
-    return weights.inverse_document_frequency(known, docs.count())
+    fitted = weights.fit_weighting(english(spark, folder))
+    return fitted.vocabulary(spark).select("term", "df", "idf")
 
 
 @query("J3_vocabulary_terms")
@@ -573,12 +572,15 @@ def cluster_jaccard(spark, folder):
 
 
 def document_edges(spark, folder):
-    """Documents and vocabulary terms as one graph: an edge per weight."""
+    """Documents and vocabulary terms as one graph: an edge per weight.
+
+    Documents keep their id, terms count down from -1.
+    """
     docs = english(spark, folder)
     rows = weights.fit_weighting(docs).weights(docs).filter("w > 0")
     return rows.select(
-        F.concat(F.lit("d:"), F.col("doc_id").cast("string")).alias("src"),
-        F.concat(F.lit("t:"), "term").alias("dst"),
+        F.col("doc_id").alias("src"),
+        (F.lit(-1) - F.col("idx")).cast("bigint").alias("dst"),
         F.col("w").alias("weight"),
     )
 

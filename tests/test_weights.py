@@ -79,6 +79,7 @@ def test_vocabulary_excludes_neighbouring_words(spark):
 
 def test_frequencies_count_documents(spark, docs):
     got = {r.term: r.df for r in vocabulary.document_frequency(docs).collect()}
+    assert got.pop(vocabulary.EVERY_DOCUMENT) == len(TEXTS)
     assert got == {"apple": 2, "banana": 2, "cherry": 1, "date": 1, "elderberry.": 1, "fig-tree": 1}
     head = [r.term for r in vocabulary.frequent_terms(vocabulary.document_frequency(docs), 3).collect()]
     assert head == ["apple", "banana", "cherry"]
