@@ -35,6 +35,12 @@ def store_languages(labelled: DataFrame, root: str, job_id: int) -> None:
     result_tables.store(rows, root, "job_languages")
 
 
+def run_languages(docs: DataFrame, model: PipelineModel, root: str, job_id: int) -> None:
+    """Count the languages of docs(doc_id, text) only; one pass over the text."""
+    labelled = language.label_language(docs.select("doc_id", "text"), model)
+    store_languages(labelled.withColumnRenamed("predicted", "lang"), root, job_id)
+
+
 def job_vocabulary(
     frequencies: DataFrame, words: DataFrame | None, keywords: DataFrame | None
 ) -> DataFrame:

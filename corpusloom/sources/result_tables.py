@@ -4,6 +4,9 @@ A sink replaces the partitions of the jobs it is given and leaves the others,
 so a run that is tried again never doubles its rows.
 """
 
+import time
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 KEYS = {
@@ -40,12 +43,37 @@ def key_violations(table: DataFrame, key: list[str]) -> DataFrame:
     return table.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+RUN_DETAILS = ["job_type", "master_type", "slave_type", "num_slaves"]
+RUN_EVENT = (
+    "job_id bigint, ts timestamp, event_id bigint, status string, err_text string, "
+    "job_type string, master_type string, slave_type string, num_slaves int"
+)
+
+
+def record_run_event(
+    spark: SparkSession, root: str, job_id: int, status: str, err_text: str | None = None, **details
+) -> None:
+    """Append an event to a run's ledger: STARTED, COMPLETED or ERROR.
+
+    ``details`` of the opening event: job_type ("clustering" or "lang_only"),
+    master_type, slave_type, num_slaves.
+    """
+    nanoseconds = time.time_ns()
+    moment = datetime.fromtimestamp(nanoseconds / 1e9, timezone.utc)
+    row = (job_id, moment, nanoseconds, status, err_text, *[details.get(c) for c in RUN_DETAILS])
+    event = spark.createDataFrame([row], RUN_EVENT).coalesce(1)
+    event.write.mode("append").parquet(f"{root}/run_events")
+
+
 def fold_run_events(events: DataFrame) -> DataFrame:
     """Job table from run events(job_id, ts, event_id, status, err_text).
 
     Events are only appended: first event opens the run, the last COMPLETED or
-    ERROR event ends it, the last event gives the status.
+    ERROR event ends it, the last event gives the status. Details that the
+    events carry are those of the last opening event.
     """
+    opened = F.when(F.col("status") == "STARTED", F.struct("ts", "event_id"))
+    details = [F.max_by(c, opened).alias(c) for c in RUN_DETAILS if c in events.columns]
     end = F.when(F.col("status").isin("COMPLETED", "ERROR"), F.col("ts"))
     when = F.struct("ts", "event_id")
     error = F.when(F.col("status") == "ERROR", when)
@@ -54,4 +82,5 @@ def fold_run_events(events: DataFrame) -> DataFrame:
         F.max(end).alias("end_ts"),
         F.max_by("status", when).alias("job_status"),
         F.max_by("err_text", error).alias("err_text"),
+        *details,
     )
