@@ -11,21 +11,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.operators import clusters, documents, language, reports, vocabulary
 from corpusloom.operators.weights import weighting_of
-from corpusloom.session import scratch_path, stored
+from corpusloom.session import stored
 from corpusloom.sources import result_tables, word_lists
 
 
-def label_corpus(docs: DataFrame, model: PipelineModel) -> DataFrame:
-    """(doc_id, text, lang): docs(doc_id, text) labelled, stored by language.
+def label_corpus(docs: DataFrame, model: PipelineModel, lang: str) -> DataFrame:
+    """(doc_id, lang, text): docs(doc_id, text) labelled and stored once.
 
-    Counting languages then touches no text, one language is one folder, and
-    compressed crawl files, which do not split, are read a single time.
+    Compressed crawl files, which do not split, are then read a single time.
+    Only texts in ``lang`` are kept, since nothing reads the others again.
+    Counting languages reads one small column. Each task writes one file;
+    a folder per language would take each task as many files as languages.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "labelled")
     labelled = language.label_language(docs.select("doc_id", "text"), model)
-    labelled.withColumnRenamed("predicted", "lang").write.partitionBy("lang").parquet(path)
-    return spark.read.parquet(path)
+    kept = F.when(F.col("predicted") == lang, F.col("text"))
+    return stored(
+        labelled.select("doc_id", F.col("predicted").alias("lang"), kept.alias("text")), "labelled"
+    )
 
 
 def store_languages(labelled: DataFrame, root: str, job_id: int) -> None:
@@ -71,7 +73,7 @@ def run_clustering(
     vocabulary. ``partitions`` makes the fit independent of the file layout.
     """
     spark = docs.sparkSession
-    labelled = label_corpus(docs, model)
+    labelled = label_corpus(docs, model, lang)
     store_languages(labelled, root, job_id)
     chosen = documents.in_language(labelled, lang).select(
         "doc_id", "text", F.col("_metadata.file_path").alias("file")

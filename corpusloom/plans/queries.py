@@ -44,6 +44,8 @@ def comparable(df: DataFrame) -> DataFrame:
         elif kind == "double":
             column = F.round(column, 6) + F.lit(0.0)
         elif kind in ("timestamp", "timestamp_ntz"):
+            if kind == "timestamp":
+                column = F.to_utc_timestamp(column, F.current_timezone())
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         columns.append(column.alias(field.name))
     return df.select(*columns)
