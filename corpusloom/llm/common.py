@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.session import scratch_path
 
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 5_000_000
 TEXT = "text"
 
 

@@ -1,10 +1,12 @@
 """Registered queries of this subpackage: (spark, folder) -> DataFrame, over whole tables."""
 
+import os
 from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import packing, token_files
+from corpusloom.llm import packing, token_files, toxicity
 from corpusloom.llm.word_encoder import tokenizer_path
 
 QUERIES = {}
@@ -14,6 +16,7 @@ def query(name):
     def register(build):
         @wraps(build)
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            importable(spark)
             return build(spark, folder)
 
         QUERIES[name] = run
@@ -22,6 +25,14 @@ def query(name):
     return register
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers started from any folder import this package."""
+    root, own = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in own.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        own["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -34,3 +45,9 @@ def op2_token_files(spark, folder):
 @query("op6_packing")
 def op6_packing(spark, folder):
     return packing.packed(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, folder, "labels")))

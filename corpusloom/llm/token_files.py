@@ -236,7 +236,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, keeps_spaces: bool = True
 
     def coded(batches):
         lengths, codes, bounds = shared.value
-        for batch in slices(batches, "ids"):
+        for batch in slices(batches, "ids", 2_000_000):
             packed = batch.column("ids").to_pylist()
             counts = np.array([len(p) for p in packed], dtype=np.int64) // size
             ids = np.frombuffer(b"".join(packed), dtype=f"<u{size}")

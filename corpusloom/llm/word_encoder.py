@@ -18,7 +18,7 @@ MARK = "\x01"
 SPACES = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 PUNCTUATION = string.punctuation.replace("'", "")
 ENDS_IN_LETTER = "[A-Za-z0-9À-ÖØ-öø-ɏ]$"
-CACHED_WORDS = 700_000
+CACHED_WORDS = 350_000
 
 _ENCODERS: dict = {}
 
@@ -73,7 +73,7 @@ class WordEncoder:
         new = [w for w, ids in zip(words, found) if ids is None]
         ids = dict(zip(new, self.encoded(new)))
         if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
+            self.known = {w: f for w, f in zip(words, found) if f is not None}
         self.known.update(ids)
         return [ids[w] if f is None else f for w, f in zip(words, found)]
 
