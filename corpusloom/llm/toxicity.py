@@ -10,12 +10,12 @@ machine is trained. As the map is a sum over words, the trained machine is one
 number per distinct word, which a worker works out once.
 
 A document's label says that one of its sentences is toxic, not which: the
-machine is trained on all sentences first and then on each toxic document's
-worst sentence against the worst ones of clean documents. Scores are the
-calibrated margin of a document's worst sentence.
+machine is trained on all sentences first and then on the worst sentences of
+toxic documents against the worst ones of clean documents. A score is a
+logistic curve through the worst margins of a document.
 
 The fit takes at most ``FIT_ROWS`` labelled documents of each class, the first
-by a hash of the key; every document is scored whole. A null or empty text has
+by a hash of the key, and begins with at most ``FIT_SENTENCES`` of their sentences; every document is scored whole. A null or empty text has
 one sentence without words. Without both classes the score is the share of
 toxic labels (0 without labels). Repeated rows are scored alike; null labels
 and labels with a null key are not used; of rival labels toxic holds.
@@ -33,16 +33,19 @@ from pyspark.sql import DataFrame, functions as F
 from corpusloom.llm.common import slices
 
 FIT_ROWS = 2_500
+FIT_SENTENCES = 60_000
 THRESHOLD = 0.7
-LANDMARKS = 80
-COMMON_LANDMARKS = 16
+LANDMARKS = 112
+COMMON_LANDMARKS = 4
 DECAY = 0.7
-SHARPNESS = 3
+SHARPNESS = 4
 LONGEST_SPAN = 8
 LONGEST_WORD = 20
 ALPHABET = 48
 MARKS = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
-CACHED_WORDS = 600_000
+WORST = 4, 10
+TURNS = 4
+CACHED_WORDS = 350_000
 FEED = "\x01"
 
 
@@ -160,8 +163,7 @@ class Model:
     landmarks: list[str]
     weights: np.ndarray
     bias: float
-    slope: float
-    shift: float
+    curve: np.ndarray
     constant: float | None = None
 
     def scorer(self) -> "Scorer":
@@ -202,7 +204,18 @@ class Scorer:
             return np.full(len(texts), self.model.constant)
         words, code, number, first, total = sentences(texts)
         margins = self.model.bias + np.bincount(number, weights=self.values(words)[code], minlength=total)
-        return sigmoid(self.model.slope * np.maximum.reduceat(margins, first) + self.model.shift)
+        return sigmoid(worst_margins(margins, first) @ self.model.curve)
+
+
+def worst_margins(margins: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Per document: largest and second largest margin of its sentences, their positive excess, log of their number, 1."""
+    counts = np.diff(np.append(first, len(margins)))
+    owner = np.repeat(np.arange(len(first)), counts)
+    order = np.lexsort((-margins, owner))
+    top = margins[order[first]]
+    second = margins[order[first + np.minimum(1, counts - 1)]]
+    excess = np.add.reduceat(np.maximum(margins, 0), first)
+    return np.stack([top, second, np.log1p(excess), np.log(counts), np.ones(len(first))], axis=1)
 
 
 def sigmoid(x):
@@ -234,18 +247,15 @@ def _machine(x: np.ndarray, y: np.ndarray, costs: np.ndarray, ridge: float = 1e-
     return w[:-1], float(w[-1])
 
 
-def _calibration(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """(slope, shift) of the logistic curve through the margins of labelled documents."""
-    rows = np.stack([margin, np.ones(len(margin))], axis=1)
-    n_toxic = toxic.sum()
-    goal = np.where(toxic, (n_toxic + 1) / (n_toxic + 2), 1 / (len(toxic) - n_toxic + 2))
-    w = np.zeros(2)
+def _calibration(rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Weights of the logistic curve through the worst margins of labelled documents."""
+    w = np.zeros(rows.shape[1])
     for _ in range(50):
         p = sigmoid(rows @ w)
-        gradient = rows.T @ (p - goal) + 1e-3 * w
-        hessian = (rows * (p * (1 - p))[:, None]).T @ rows + np.diag([1e-3, 1e-3])
+        gradient = rows.T @ (p - toxic) + 1e-2 * w
+        hessian = (rows * (p * (1 - p))[:, None]).T @ rows + 1e-2 * np.eye(len(w))
         w = w - np.clip(np.linalg.solve(hessian, gradient), -2, 2)
-    return float(w[0]), float(w[1])
+    return w
 
 
 def _landmarks(words: list[str], per_text: list[np.ndarray], toxic: np.ndarray) -> list[str]:
@@ -270,7 +280,7 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
     """Fit on labelled texts, which fit in memory by the bound on their number."""
     toxic = np.asarray(toxic, dtype=bool)
     if not len(toxic) or toxic.all() or not toxic.any():
-        return Model([], np.zeros(0), 0.0, 1.0, 0.0, float(toxic.mean()) if len(toxic) else 0.0)
+        return Model([], np.zeros(0), 0.0, np.zeros(5), float(toxic.mean()) if len(toxic) else 0.0)
     words, code, number, first, total = sentences(pa.array(texts))
     owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, total)))
     text_of = owner[number]
@@ -300,20 +310,19 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
 
     label = toxic[owner]
     spread = np.argsort((np.arange(total) * 2654435761) % (1 << 32), kind="stable")
-    chosen = spread[: 60_000]
+    chosen = spread[:FIT_SENTENCES]
     weights, bias = np.zeros(shown.shape[1]), 0.0
-    for turn in range(4):
+    for turn in range(TURNS):
         y = np.where(label[chosen], 1.0, -1.0)
         costs = np.where(label[chosen], 1 / max(1, label[chosen].sum()), 1 / max(1, (~label[chosen]).sum()))
         weights, bias = _machine(features(chosen), y, costs)
         margins = bias + np.bincount(number, weights=(shown @ weights)[code], minlength=total)
-        # the worst sentence of toxic documents, the three worst of clean ones
+        # the worst sentences of each toxic and of each clean document
         order = np.lexsort((-margins, owner))
         place = np.arange(total) - np.repeat(first, np.diff(np.append(first, total)))
-        chosen = order[place < np.where(label[order], 1, 3)]
-    worst = np.maximum.reduceat(margins, first)
-    slope, shift = _calibration(worst, toxic)
-    return Model(landmarks, root @ weights, bias, slope, shift)
+        chosen = order[place < np.where(label[order], *WORST)]
+    curve = _calibration(worst_margins(margins, first), toxic.astype(float))
+    return Model(landmarks, root @ weights, bias, curve)
 
 
 def held_out(key) -> F.col:
