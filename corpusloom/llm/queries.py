@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import packing, token_files, toxicity
+from corpusloom.llm import near_copies, packing, token_files, toxicity
 from corpusloom.llm.word_encoder import tokenizer_path
 
 QUERIES = {}
@@ -51,3 +51,8 @@ def op6_packing(spark, folder):
 def op3_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op5_near_copies")
+def op5_near_copies(spark, folder):
+    return near_copies.near_classes(table(spark, folder, "documents"))
