@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import near_copies, packing, token_files, toxicity
+from corpusloom.llm import decontamination, near_copies, packing, token_files, toxicity
 from corpusloom.llm.word_encoder import tokenizer_path
 
 QUERIES = {}
@@ -56,3 +56,8 @@ def op3_toxicity(spark, folder):
 @query("op5_near_copies")
 def op5_near_copies(spark, folder):
     return near_copies.near_classes(table(spark, folder, "documents"))
+
+
+@query("op9_benchmark_leaks")
+def op9_benchmark_leaks(spark, folder):
+    return decontamination.leaked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
