@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import decontamination, near_copies, packing, token_files, toxicity
+from corpusloom.llm import decontamination, near_copies, packing, secrets, token_files, toxicity
 from corpusloom.llm.word_encoder import tokenizer_path
 
 QUERIES = {}
@@ -61,3 +61,8 @@ def op5_near_copies(spark, folder):
 @query("op9_benchmark_leaks")
 def op9_benchmark_leaks(spark, folder):
     return decontamination.leaked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op1_secrets")
+def op1_secrets(spark, folder):
+    return secrets.report(table(spark, folder, "documents"))
