@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import decontamination, near_copies, packing, secrets, token_files, toxicity
+from corpusloom.llm import decontamination, fingerprints, near_copies, packing, secrets, token_files, toxicity
 from corpusloom.llm.word_encoder import tokenizer_path
 
 QUERIES = {}
@@ -66,3 +66,8 @@ def op9_benchmark_leaks(spark, folder):
 @query("op1_secrets")
 def op1_secrets(spark, folder):
     return secrets.report(table(spark, folder, "documents"))
+
+
+@query("op10_fingerprints")
+def op10_fingerprints(spark, folder):
+    return fingerprints.fingerprinted(table(spark, folder, "documents"))
