@@ -4,9 +4,19 @@ import os
 from functools import wraps
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
-
-from corpusloom.llm import decontamination, fingerprints, near_copies, packing, secrets, token_files, toxicity
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from corpusloom.llm import (
+    decontamination,
+    derivatives,
+    fingerprints,
+    near_copies,
+    packing,
+    reputation,
+    secrets,
+    token_files,
+    toxicity,
+)
 from corpusloom.llm.word_encoder import tokenizer_path
 
 QUERIES = {}
@@ -71,3 +81,17 @@ def op1_secrets(spark, folder):
 @query("op10_fingerprints")
 def op10_fingerprints(spark, folder):
     return fingerprints.fingerprinted(table(spark, folder, "documents"))
+
+
+@query("op7_host_reputation")
+def op7_host_reputation(spark, folder):
+    """A page's outcome is the label with its number: bad if of low quality or toxic."""
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    outcomes = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), bad.cast("int").alias("bad"))
+    return reputation.judged(table(spark, folder, "pages"), outcomes)
+
+
+@query("op8_derivatives")
+def op8_derivatives(spark, folder):
+    made = derivatives.built(table(spark, folder, "pages"))
+    return made.withColumnRenamed("source_key", "page_id")
