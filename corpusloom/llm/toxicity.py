@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.common import slices
 
-FIT_ROWS = 2_500
-FIT_SENTENCES = 60_000
+FIT_ROWS = 1_200
+FIT_SENTENCES = 24_000
 THRESHOLD = 0.7
 LANDMARKS = 112
 COMMON_LANDMARKS = 4
@@ -316,7 +316,7 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
         y = np.where(label[chosen], 1.0, -1.0)
         costs = np.where(label[chosen], 1 / max(1, label[chosen].sum()), 1 / max(1, (~label[chosen]).sum()))
         weights, bias = _machine(features(chosen), y, costs)
-        margins = bias + np.bincount(number, weights=(shown @ weights)[code], minlength=total)
+        margins = bias + np.bincount(number, weights=(shown @ weights.astype(np.float32))[code], minlength=total)
         # the worst sentences of each toxic and of each clean document
         order = np.lexsort((-margins, owner))
         place = np.arange(total) - np.repeat(first, np.diff(np.append(first, total)))
