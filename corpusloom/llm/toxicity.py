@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.common import slices
 
-FIT_ROWS = 1_200
-FIT_SENTENCES = 24_000
+FIT_ROWS = 800
+FIT_SENTENCES = 12_000
 THRESHOLD = 0.7
 LANDMARKS = 112
 COMMON_LANDMARKS = 4
