@@ -12,6 +12,7 @@ from corpusloom.llm import (
     fingerprints,
     near_copies,
     packing,
+    personal_data,
     reputation,
     secrets,
     token_files,
@@ -95,3 +96,8 @@ def op7_host_reputation(spark, folder):
 def op8_derivatives(spark, folder):
     made = derivatives.built(table(spark, folder, "pages"))
     return made.withColumnRenamed("source_key", "page_id")
+
+
+@query("op4_personal_data")
+def op4_personal_data(spark, folder):
+    return personal_data.report(table(spark, folder, "documents"))
