@@ -14,10 +14,13 @@ Each dart names a coordinate, and a text keeps its earliest dart for each.
 Two texts agree in a coordinate with probability equal to their likeness.
 
 Joining: bands of ``ROWS`` coordinates are buckets. In each bucket every text
-is compared with one other, the first by a hash; those that are not like it
-make a bucket of their own in the next round, until none is left, so a group
-of any size costs a comparison per text and not per pair. ``BANDS`` bands
-find two texts of likeness 0.8 with probability 0.999.
+is compared with one other, its centre: the text that meets the most others in
+all its buckets. A group of any size so costs a comparison per text and not per
+pair. Texts that are not like the centre stay in the bucket for another round;
+once at most ``REST`` are left in it, those that agree in enough coordinates
+are compared with each other, and larger rests choose a new centre. ``BANDS``
+bands find two texts of likeness 0.8 with probability 0.999; a pair of such
+likeness agrees in under ``AGREE`` of all coordinates once in 30,000.
 
 Equal texts are one text until the end. A null text is the empty one, and all
 empty texts are one class. Null keys are kept; a class is named by its least
@@ -36,6 +39,8 @@ SHINGLE = 5
 LIKENESS = 0.8
 BANDS, ROWS = 24, 6
 COORDINATES = BANDS * ROWS
+REST = 256
+AGREE = 0.66
 SLICE = 2_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNIT = 1.0 / (1 << 53)
@@ -152,12 +157,13 @@ def likeness(a, b) -> float:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bands) of every row; the buckets of a text are packed in one value."""
+    """(doc_id, key, bands) of every row; a text's buckets, and then a byte of each coordinate, in one value."""
 
     def run(batches):
         for batch in slices(batches, "text", SLICE):
-            found = bands(signatures(strings(batch.column("text")))).astype("<u8")
-            packed = pa.array([row.tobytes() for row in found], pa.binary())
+            found = signatures(strings(batch.column("text")))
+            rows = zip(bands(found).astype("<u8"), found.astype(np.uint8))
+            packed = pa.array([own.tobytes() + marks.tobytes() for own, marks in rows], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), packed], ["doc_id", "key", "bands"])
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string").alias("text"))
@@ -197,28 +203,56 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     places = F.expr(f"transform(sequence(0, {BANDS - 1}), i -> substring(bands, i * 8 + 1, 8))")
     spread = texts.select(F.explode(places).alias("bucket"), "key")
-    first = F.min(F.struct(F.xxhash64("key").alias("h"), "key")).alias("first")
-    heads = spread.groupBy("bucket").agg(F.count("*").alias("n"), first).filter("n > 1")
-    members = kept(spread.join(heads.select("bucket", F.col("first.key").alias("other")), "bucket"), "buckets")
-    wanted = members.select("key").distinct().join(texts.select("key", "first_id"), "key")
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    met = kept(spread.join(shared, "bucket"), "buckets")
+    weights = met.groupBy("key").agg(F.sum("n").alias("weight"))
+    members = kept(met.select("bucket", "key").join(weights, "key").select("bucket", "key", "weight"), "members")
+    wanted = weights.select("key").join(texts.select("key", "first_id"), "key")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string").alias("text"))
     # by key and id: the copies of one text are many, its rows with one id few
-    found = rows.join(
-        wanted.select("key", "first_id"),
-        (rows.doc_id.eqNullSafe(wanted.first_id)) & (rows.key == wanted.key),
-    ).select(rows.key, rows.doc_id, rows.text)
+    same = rows.doc_id.eqNullSafe(wanted.first_id) & (rows.key == wanted.key)
+    found = rows.join(wanted, same, "left_semi")
     bodies = kept(found.dropDuplicates(["doc_id", "key"]).select("key", "text"), "texts-to-compare")
-    made = None
-    while True:
-        pairs = members.filter("key != other").select("key", "other").distinct()
+    made = []
+
+    def compared(pairs):
         checked = kept(_verified(pairs, bodies), "compared")
-        own = checked.filter("linked").select("key", "other")
-        made = own if made is None else made.unionByName(own)
-        failed = members.filter("key != other").join(checked.filter("NOT linked").select("key", "other"), ["key", "other"]).select("bucket", "key")
-        heads = failed.groupBy("bucket").agg(F.count("*").alias("n"), first).filter("n > 1")
-        members = kept(failed.join(heads.select("bucket", F.col("first.key").alias("other")), "bucket"), "buckets")
+        made.append(checked.filter("linked").select("key", "other"))
+        return checked
+
+    while True:
+        centre = F.max(F.struct("weight", F.xxhash64("key").alias("h"), "key"))
+        met = members.join(members.groupBy("bucket").agg(centre["key"].alias("other")), "bucket").filter("key != other")
+        met = kept(met, "met")
+        checked = compared(met.select("key", "other").distinct())
+        left = met.join(checked.filter("NOT linked"), ["key", "other"]).select("bucket", "key", "weight")
+        sizes = left.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+        left = kept(left.join(sizes, "bucket"), "left")
+        marks = texts.select("key", F.substring("bands", BANDS * 8 + 1, COORDINATES).alias("marks"))
+        small = left.filter(f"n <= {REST}").select("bucket", "key").join(marks, "key")
+        compared(_agreeing(small).distinct())
+        members = left.filter(f"n > {REST}").select("bucket", "key", "weight")
         if members.isEmpty():
-            return texts.select("key", "first_id"), made.distinct()
+            every = made[0]
+            for part in made[1:]:
+                every = every.unionByName(part)
+            return texts.select("key", "first_id"), every
+
+
+def _agreeing(members: DataFrame) -> DataFrame:
+    """(key, other) of texts in one bucket, of bounded size, that agree in enough coordinates."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys = sorted(set(zip(table["key"].to_pylist(), table["marks"].to_pylist())))
+        marks = np.frombuffer(b"".join(m for _, m in keys), dtype=np.uint8).reshape(len(keys), COORDINATES)
+        found = []
+        for i in range(1, len(keys)):
+            near = np.flatnonzero((marks[:i] == marks[i]).mean(axis=1) >= AGREE)
+            found += [(keys[i][0], keys[j][0]) for j in near.tolist()]
+        own, other = zip(*found) if found else ((), ())
+        return pa.table({"key": pa.array(own, pa.binary()), "other": pa.array(other, pa.binary())})
+
+    return members.select("bucket", "key", "marks").groupBy("bucket").applyInArrow(run, "key binary, other binary")
 
 
 def classes(edges: DataFrame) -> DataFrame:
