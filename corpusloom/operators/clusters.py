@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from corpusloom.functions.fixed_values import KEYWORDS_PER_CLUSTER, LARGEST_CLUSTERS, MAX_CLUSTERS
 from corpusloom.operators.weights import Weighting, coordinates, entries
 
-# Largest number of center coordinates sent to every task: 128 MB of doubles.
+# Largest number of center coordinates, which go to every task: 128 MB of doubles.
 # The defaults (100 clusters, 25,000 terms) need 2.5 million.
-MAX_BROADCAST_CELLS = 16_000_000
+MAX_CENTER_CELLS = 16_000_000
 # Documents scored per matrix product; bounds the memory of a task.
 SCORED_AT_ONCE = 32
 
@@ -21,6 +21,11 @@ def cluster_count(documents: int) -> int:
     return max(2, min(isqrt(documents // 2), MAX_CLUSTERS))
 
 
+def cluster_count_column(documents: str):
+    """``cluster_count`` of a column."""
+    return F.greatest(F.lit(2), F.least(F.floor(F.sqrt(F.floor(F.col(documents) / 2))), F.lit(MAX_CLUSTERS))).cast("bigint")
+
+
 def fit_kmeans(
     vectors: DataFrame, k: int, seed: int = 1, partitions: int | None = None, column: str = "tfidf"
 ) -> KMeansModel:
@@ -49,20 +54,9 @@ def model_centers(spark: SparkSession, model: KMeansModel) -> DataFrame:
     return arrays.select("cluster_id", F.posexplode("center").alias("idx", "w")).filter("w <> 0")
 
 
-def seed_centers(docs: DataFrame, fitted: Weighting, k: int, column: str = "tfidf") -> DataFrame:
-    """(cluster_id, idx, w): the first k documents by key that have a vector.
-
-    Looks at the first 2k documents, then at twice as many until k of them
-    have a vector, instead of computing the vector of every document.
-    """
-    n, found = k, 0
-    while found < k:
-        n = 2 * n
-        head = fitted.vectors(docs.orderBy("doc_id").limit(n))
-        usable = head.filter(F.exists(coordinates(column)[1], lambda v: v != 0))
-        found = usable.count()
-        if n >= fitted.documents:
-            break
+def seed_centers(vectors: DataFrame, k: int, column: str = "tfidf") -> DataFrame:
+    """(cluster_id, idx, w): the first k documents by key whose vector is not zero, in one pass."""
+    usable = vectors.filter(F.exists(coordinates(column)[1], lambda v: v != 0))
     first = usable.select("doc_id", column).orderBy("doc_id").limit(k)
     numbered = first.withColumn(
         "cluster_id", (F.row_number().over(Window.orderBy("doc_id")) - 1).cast("int")
@@ -72,44 +66,36 @@ def seed_centers(docs: DataFrame, fitted: Weighting, k: int, column: str = "tfid
 
 def nearest_center(
     vectors: DataFrame, centers: DataFrame, k: int, terms: int, column: str = "tfidf",
-    max_cells: int = MAX_BROADCAST_CELLS,
+    max_cells: int = MAX_CENTER_CELLS,
 ) -> DataFrame:
     """``vectors`` with cluster_id, d2 and cos_sim of the nearest center.
 
     Distances are compared after rounding to 9 places; the lower id wins a
     tie. A document without a vector has no cosine. Scoring happens inside the
     row, so nothing is shuffled and no row per document and center exists.
-    Centers go to every task in blocks of at most ``max_cells`` coordinates;
-    the defaults fit one block, more clusters take several.
+    All centers go to every task; a model of more than ``max_cells``
+    coordinates (clusters x terms) is refused.
     """
     import numpy as np
 
-    block = max(1, max_cells // terms)
+    if k * terms > max_cells:
+        raise ValueError(f"{k} centers of {terms} terms are more than {max_cells} coordinates")
     table = centers.select("cluster_id", "idx", "w").toArrow()
     ids, idx, w = (column.to_numpy() for column in table.columns)
-    matrices = []
-    for low in range(0, k, block):
-        inside = (ids >= low) & (ids < low + block)
-        matrix = np.zeros((terms, min(block, k - low)))
-        matrix[idx[inside], ids[inside] - low] = w[inside]
-        matrices.append(matrix)
-    context = vectors.sparkSession.sparkContext
-    scored = [
-        _scorer(context.broadcast(matrix), n * block)(*coordinates(column))
-        for n, matrix in enumerate(matrices)
-    ]
-    best = scored[0] if len(scored) == 1 else F.array_min(F.array(*scored))
+    matrix = np.zeros((terms, k))
+    matrix[idx, ids] = w
+    best = _scorer(vectors.sparkSession.sparkContext.broadcast(matrix))(*coordinates(column))
     kept = [c for c in vectors.columns if c not in ("tf", "tfidf")]
     return vectors.select(*kept, best.alias("_best")).select(
         *kept, "_best.cluster_id", "_best.d2", "_best.cos_sim"
     )
 
 
-def _scorer(shared, first_id: int):
-    """Arrow UDF from sparse vectors to (rank, cluster_id, d2, cos_sim)."""
+def _scorer(shared):
+    """Arrow UDF from sparse vectors to (cluster_id, d2, cos_sim)."""
     chunk = SCORED_AT_ONCE
 
-    @F.arrow_udf("rank double, cluster_id int, d2 double, cos_sim double")
+    @F.arrow_udf("cluster_id int, d2 double, cos_sim double")
     def score(indices, values):
         import numpy as np
         import pyarrow as pa
@@ -136,12 +122,11 @@ def _scorer(shared, first_id: int):
         cos = dots[own] / np.where(length == 0, 1, length)
         return pa.StructArray.from_arrays(
             [
-                pa.array(np.round(d2[own], 9)),
-                pa.array((own[1] + first_id).astype("int32")),
+                pa.array(own[1].astype("int32")),
                 pa.array(d2[own]),
                 pa.array(cos, mask=length == 0),
             ],
-            names=["rank", "cluster_id", "d2", "cos_sim"],
+            names=["cluster_id", "d2", "cos_sim"],
         )
 
     # Keeps the optimizer from copying the call into filters it infers.

@@ -3,47 +3,31 @@
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions.fixed_values import MIN_KEYWORD_HITS
-from corpusloom.functions.text import quoted, tokens, tokens_sql
+from corpusloom.functions.text import quoted, tokens_sql
 
-# Largest keyword list kept in the filter expression; longer ones are joined,
-# and sent to every task up to the second bound.
-INLINE_KEYWORDS = 10_000
-BROADCAST_KEYWORDS = 1_000_000
+# Largest keyword list. Keywords also join the vocabulary, and more of them would
+# be no vocabulary that the later steps can hold.
+MOST_KEYWORDS = 100_000
 
 
 def in_language(docs: DataFrame, lang: str = "en", column: str = "lang") -> DataFrame:
     return docs.filter(F.col(column) == lang)
 
 
-def with_keywords(
-    docs: DataFrame,
-    keywords: DataFrame,
-    min_hits: int = MIN_KEYWORD_HITS,
-    inline: int = INLINE_KEYWORDS,
-) -> DataFrame:
-    """Documents with at least ``min_hits`` token occurrences among keywords(term).
+def with_keywords(docs: DataFrame, keywords: DataFrame, min_hits: int = MIN_KEYWORD_HITS) -> DataFrame:
+    """Rows with at least ``min_hits`` token occurrences among keywords(term).
 
-    The same keyword twice counts twice. A list of checked size becomes a hash
-    set inside the filter; a longer one is joined with the exploded tokens,
-    and document ids with enough hits select the documents.
+    The same keyword twice counts twice. The list is a hash set inside the
+    filter, so hits are counted per row and nothing is shuffled; a list of more
+    than ``MOST_KEYWORDS`` terms is refused.
     """
-    terms = keywords.select("term").distinct()
-    head = [row.term for row in terms.limit(inline + 1).collect()]
-    if not head:
+    terms = [row.term for row in keywords.select("term").distinct().limit(MOST_KEYWORDS + 1).collect()]
+    if len(terms) > MOST_KEYWORDS:
+        raise ValueError(f"more than {MOST_KEYWORDS} keywords")
+    if not terms:
         return docs.filter(F.lit(min_hits <= 0))
-    if len(head) <= inline:
-        hits = F.expr(f"filter({tokens_sql('text')}, t -> t IN ({quoted(head)}))")
-        return docs.filter(F.size(hits) >= min_hits)
-    if terms.limit(BROADCAST_KEYWORDS + 1).count() <= BROADCAST_KEYWORDS:
-        terms = F.broadcast(terms)
-    found = (
-        docs.select("doc_id", F.explode_outer(tokens("text")).alias("term"))
-        .join(terms, "term", "left_semi")
-        .groupBy("doc_id")
-        .count()
-        .filter(F.col("count") >= min_hits)
-    )
-    return docs.join(found, "doc_id", "left_semi")
+    hits = F.expr(f"filter({tokens_sql('text')}, t -> t IN ({quoted(terms)}))")
+    return docs.filter(F.size(hits) >= min_hits)
 
 
 def sample_documents(docs: DataFrame, per_thousand: int, seed: int = 0) -> DataFrame:

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.session import stored
 
+# Rounds of label propagation at most, and parts of a node's links in the join with labels.
+ROUNDS = 10
+SALTS = 8
+
 
 def jaccard_edges(members: DataFrame) -> DataFrame:
     """(src, dst, weight): Jaccard similarity of clusters that share a keyword.
@@ -41,30 +45,62 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(ends).alias("e"), "weight").select("e.node", "e.neighbour", "weight")
 
 
-def communities(edges: DataFrame, rounds: int, store_every: int = 2) -> DataFrame:
-    """(node, label) after synchronous label propagation.
+def in_second_half(node: str, turn: int):
+    """Whether a node moves in the second half of a round; another half of the nodes each round."""
+    digit = F.substring(F.md5(F.concat(F.col(node).cast("string"), F.lit(f"#{turn}"))), 8, 1)
+    return digit.isin(*"13579bdf")
+
 
-    Every node starts with itself as label and takes, each round, the label
-    with the largest total edge weight among its neighbours (compared after
-    rounding to 9 places; the lower label wins a tie).
+def communities(edges: DataFrame, nodes: DataFrame | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """(node, label, converged) by label propagation until no label changes.
+
+    Every node starts with itself as label. In a round first one half of the
+    nodes, chosen by a hash of node and round, and then the other takes the
+    label with the largest total edge weight among its neighbours (compared
+    after rounding to 9 places; its own label wins a tie, else the lower one),
+    so linked nodes do not swap labels for ever. ``converged`` says that a
+    whole round changed nothing, which within ``rounds`` rounds it need not.
+    ``nodes(node)`` adds nodes without edges, which keep themselves.
 
     Votes are summed per (node, label) before the best is picked by a plain
-    minimum, so a node with very many neighbours is never in one task whole.
-    In the join with labels, its edges are split by adaptive skew handling.
+    minimum, and a node's links are joined in ``SALTS`` parts, so a node with
+    very many neighbours is never in one task whole.
     """
-    links = stored(both_ways(edges), "links")
-    labels = links.select("node").distinct().withColumn("label", F.col("node"))
-    for n in range(1, rounds + 1):
-        votes = (
-            links.join(labels.withColumnRenamed("node", "neighbour"), "neighbour")
-            .groupBy("node", "label")
-            .agg(F.sum("weight").alias("weight"))
-        )
-        choice = F.min(F.struct((-F.round("weight", 9)).alias("w"), "label"))
-        labels = votes.groupBy("node").agg(choice.alias("best")).select("node", "best.label")
-        if n % store_every == 0 and n < rounds:
-            labels = stored(labels, "labels")
-    return labels
+    salt = F.pmod(F.hash("node"), F.lit(SALTS)).alias("salt")
+    links = stored(both_ways(edges).select("node", "neighbour", "weight", salt), "links")
+    every = links.select("node")
+    if nodes is not None:
+        every = every.unionByName(nodes.select("node"))
+    labels = stored(every.distinct().select("node", F.col("node").alias("label")), "labels")
+    converged = False
+    for turn in range(rounds):
+        moved = False
+        for half in (False, True):
+            mine = in_second_half("node", turn) == half
+            shown = labels.select(
+                F.col("node").alias("neighbour"), "label", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+            )
+            votes = (
+                links.filter(mine)
+                .join(shown, ["neighbour", "salt"])
+                .groupBy("node", "label")
+                .agg(F.sum("weight").alias("weight"))
+            )
+            own = labels.filter(mine).select("node", F.col("label").alias("own"))
+            rank = F.struct((-F.round("weight", 9)).alias("w"), (F.col("label") != F.col("own")).alias("other"), "label")
+            best = votes.join(own, "node").groupBy("node").agg(F.min(rank)["label"].alias("best"))
+            after = F.coalesce("best", "label")
+            labels = stored(
+                labels.select("node", "label")
+                .join(best, "node", "left")
+                .select("node", after.alias("label"), (after != F.col("label")).alias("moved")),
+                "labels",
+            )
+            moved = moved or not labels.filter("moved").isEmpty()
+        if not moved:
+            converged = True
+            break
+    return labels.select("node", "label", F.lit(converged).alias("converged"))
 
 
 def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:

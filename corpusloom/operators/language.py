@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.functions.fixed_values import TOP_LANGUAGES
 from corpusloom.functions.text import language_window_sql, trigrams_sql
+from corpusloom.session import stored
 
-# Trigrams a model keeps. With at most 185 language codes this bounds the
-# model at about 100 MB, whatever the size of the training corpus.
-MAX_TRIGRAMS = 65_536
+# Labelled documents a model is fitted on, the first by a hash of their text. All
+# their trigrams are kept, and their number bounds the model.
+FIT_DOCUMENTS = 20_000
+FIT_PARTITIONS = 16
 
 
-def fit_language_model(labelled: DataFrame, max_trigrams: int = MAX_TRIGRAMS) -> PipelineModel:
-    """Multinomial naive Bayes over character trigrams of labelled(text, lang).
+def fit_language_model(labelled: DataFrame, documents: int = FIT_DOCUMENTS) -> PipelineModel:
+    """Multinomial naive Bayes over all character trigrams of at most ``documents`` rows of labelled(text, lang).
 
     Returns a Spark ML pipeline: it saves, loads and scores inside the row, so
     labelling a corpus moves no text between machines.
@@ -22,15 +24,12 @@ def fit_language_model(labelled: DataFrame, max_trigrams: int = MAX_TRIGRAMS) ->
     split = SQLTransformer(
         statement=f"SELECT *, {trigrams_sql(language_window_sql('text'))} AS trigrams FROM __THIS__"
     )
-    grams = split.transform(labelled.select("text", "lang").filter("lang IS NOT NULL"))
-    kept = (
-        grams.select(F.explode_outer("trigrams").alias("gram"))
-        .filter("gram IS NOT NULL")
-        .groupBy("gram")
-        .count()
-        .orderBy(F.desc("count"), "gram")
-        .limit(max_trigrams)
+    windows = labelled.filter("lang IS NOT NULL").select(
+        F.md5("text").alias("digest"), F.expr(language_window_sql("text")).alias("text"), "lang"
     )
+    chosen = stored(windows.orderBy("digest", "lang").limit(documents).select("text", "lang"), "labelled")
+    grams = stored(split.transform(chosen.repartition(FIT_PARTITIONS)), "labelled-trigrams")
+    kept = grams.select(F.explode_outer("trigrams").alias("gram")).filter("gram IS NOT NULL").distinct()
     vocabulary = sorted(row.gram for row in kept.collect())
     labels = sorted(row.lang for row in grams.select("lang").distinct().collect())
     counts = CountVectorizerModel.from_vocabulary(
@@ -96,8 +95,11 @@ def share_trend(counts: DataFrame, period: str = "period") -> DataFrame:
     A language that is absent from a period has share 0 there: the pivot has
     a column per language (at most 185), and turning it back fills the gaps.
     Languages and periods are few, so each language's periods fit one window.
+    The few counts are stored first, as the languages and the pivot both need them.
     """
-    by_period = counts.groupBy(period).pivot("lang").agg(F.sum("n")).fillna(0)
+    counts = stored(counts, "language-counts")
+    known = sorted(row.lang for row in counts.select("lang").distinct().collect() if row.lang is not None)
+    by_period = counts.groupBy(period).pivot("lang", known).agg(F.sum("n")).fillna(0)
     languages = [c for c in by_period.columns if c != period]
     total = sum((F.col(f"`{c}`") for c in languages), F.lit(0))
     shares = by_period.select(period, *[(F.col(f"`{c}`") / total).alias(c) for c in languages])

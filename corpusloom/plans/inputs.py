@@ -2,18 +2,25 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.session import spread
-
 NOT_PLAIN = "application/warc-fields"
 
+# Layout of the registered queries: a table of a few files, which give a few
+# tasks, is spread over this many, by key, whatever the session's cores.
+FEW_FILES = 8
+PARTITIONS = 16
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def laid_out(df: DataFrame) -> DataFrame:
+    return df.repartition(PARTITIONS, "doc_id") if len(df.inputFiles()) < FEW_FILES else df
+
+
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, lang, text) of all documents, for work on their text."""
-    return spread(table(spark, folder, "documents").select("doc_id", "lang", "text"), "doc_id")
+    return laid_out(table(spark, folder, "documents").select("doc_id", "lang", "text"))
 
 
 def english(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,7 +41,7 @@ def raw_records(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("\nContent-Length: "), F.octet_length("text").cast("string"),
         F.lit("\n\n"), "text", F.lit("\n"),
     )
-    docs = spread(table(spark, folder, "documents").select("doc_id", "source", "text"), "doc_id")
+    docs = laid_out(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return docs.select(F.col("source").alias("file"), value.alias("value"))
 
 

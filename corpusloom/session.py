@@ -1,4 +1,4 @@
-"""Shared folder for tables that outlive one task, and row layout of inputs."""
+"""Shared folder for tables that outlive one task."""
 
 import tempfile
 import uuid
@@ -36,16 +36,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores when the input has fewer tasks than the session has cores.
-
-    Files that do not split (gz) or hold one row group leave cores idle in
-    front of heavy text work. A large input has more tasks than cores and is
-    returned as it is, so nothing large is ever moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

@@ -3,28 +3,28 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions.text import content_type, header_field
-from corpusloom.session import spread
 
 RECORD_START = "WARC/1.0"
 
 
-def read_records(spark: SparkSession, path) -> DataFrame:
+def read_records(spark: SparkSession, path, partitions: int | None = None) -> DataFrame:
     """(file, value) per record; ``value`` is header block, blank line and body.
 
     The record marker is the line separator, so a file is never read whole and
-    uncompressed files split. A gz file is one task: with at least as many
-    files as cores all are busy, and with fewer the records are spread.
+    uncompressed files split. A gz file is one task; ``partitions`` spreads the
+    records of a few such files.
     """
     lines = spark.read.option("lineSep", "\n" + RECORD_START).text(path)
-    return spread(lines.select(F.col("_metadata.file_path").alias("file"), "value"))
+    records = lines.select(F.col("_metadata.file_path").alias("file"), "value")
+    return records if partitions is None else records.repartition(partitions)
 
 
 def parse_records(records: DataFrame) -> DataFrame:
     """Header fields and body of each record.
 
     Only the header block is searched for fields: a body may hold lines that
-    look like one. The declared length cuts the body, in bytes, where it fits;
-    without one the blank lines that end a record are cut.
+    look like one. The body is all up to the next record, whatever length is
+    declared, less the line ends that close it.
     """
     parts = F.split(F.regexp_replace("value", f"^{RECORD_START}", ""), "(?<=\n)\r?\n", 2)
     split_up = records.withColumn("_parts", parts).select(
@@ -33,22 +33,14 @@ def parse_records(records: DataFrame) -> DataFrame:
         F.coalesce(F.get("_parts", F.lit(1)), F.lit("")).alias("body"),
     )
     headers = F.col("headers")
-    length = F.expr(
-        r"try_cast(nullif(regexp_extract(headers, '(?mi)^Content-Length:[ \\t]*([0-9]{1,9})', 1), '') AS INT)"
-    )
-    return split_up.withColumn("_bytes", length).select(
+    return split_up.select(
         *[c for c in records.columns if c != "value"],
         header_field(headers, "WARC-Record-ID").alias("record_id"),
         header_field(headers, "WARC-Target-URI").alias("uri"),
         F.try_to_timestamp(header_field(headers, "WARC-Date")).alias("warc_date"),
         content_type(headers).alias("content_type"),
         "headers",
-        F.when(
-            F.col("_bytes") <= F.octet_length("body"),
-            F.expr("CAST(substring(CAST(body AS BINARY), 1, _bytes) AS STRING)"),
-        )
-        .otherwise(F.regexp_replace("body", "(\r?\n){0,2}\r?$", ""))
-        .alias("text"),
+        F.regexp_replace("body", "[\r\n]+$", "").alias("text"),
     )
 
 
@@ -57,13 +49,15 @@ def plain_text(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("content_type") == "text/plain")
 
 
-def read_documents(spark: SparkSession, path, include_headers: bool = False) -> DataFrame:
+def read_documents(
+    spark: SparkSession, path, include_headers: bool = False, partitions: int | None = None
+) -> DataFrame:
     """Plain-text documents of crawl files, keyed by record id.
 
     ``include_headers`` puts the header block in front of the text, as the
     text of a document once included it.
     """
-    parsed = plain_text(parse_records(read_records(spark, path)))
+    parsed = plain_text(parse_records(read_records(spark, path, partitions)))
     text = F.concat("headers", F.lit("\n"), "text") if include_headers else F.col("text")
     key = F.when(F.col("record_id") != "", F.col("record_id")).otherwise(
         F.sha2(F.concat_ws("\n", "file", "headers", "text"), 256)

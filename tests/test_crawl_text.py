@@ -64,3 +64,10 @@ def test_round_trip_of_documents(spark, folder):
     want = docs.filter("doc_id % 10 <> 9").select("doc_id", "text")
     assert back.exceptAll(want).count() == 0
     assert want.exceptAll(back).count() == 0
+
+
+@pytest.mark.parametrize("declared", ["4", "999", "0000000004000", "", "x"])
+def test_whole_body_whatever_length_is_declared(spark, declared):
+    record = f"WARC/1.0\nContent-Type: text/plain\nContent-Length: {declared}\n\nten é long\n\nmore\n\n\n"
+    rows = crawl_text.parse_records(spark.createDataFrame([(record,)], "value string")).collect()
+    assert [r.text for r in rows] == ["ten é long\n\nmore"]

@@ -1,5 +1,6 @@
 import random
 from collections import defaultdict
+from hashlib import md5
 
 import pytest
 
@@ -21,24 +22,34 @@ def propagate(edges, rounds):
         neighbours[a].append((b, w))
         neighbours[b].append((a, w))
     labels = {n: n for n in neighbours}
-    for _ in range(rounds):
-        new = {}
-        for node, links in neighbours.items():
-            votes = defaultdict(float)
-            for other, w in links:
-                votes[labels[other]] += w
-            new[node] = min(votes, key=lambda label: (-round(votes[label], 9), label))
-        labels = new
-    return labels
+    for turn in range(rounds):
+        before = dict(labels)
+        for half in (0, 1):
+            new = {}
+            for node, links in neighbours.items():
+                if int(md5(f"{node}#{turn}".encode()).hexdigest()[7], 16) % 2 != half:
+                    continue
+                votes = defaultdict(float)
+                for other, w in links:
+                    votes[labels[other]] += w
+                new[node] = min(votes, key=lambda label: (-round(votes[label], 9), label != labels[node], label))
+            labels.update(new)
+        if labels == before:
+            return labels, True
+    return labels, False
+
+
+def edge_table(spark, edges):
+    return spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "src int, dst int, weight double")
 
 
 @pytest.mark.parametrize("rounds", [1, 2, 5])
 def test_communities_and_modularity(spark, rounds):
     edges = random_edges(rounds)
-    df = spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "src int, dst int, weight double")
-    labels = graph.communities(df, rounds)
+    df = edge_table(spark, edges)
+    labels = graph.communities(df, rounds=rounds)
     got = {r.node: r.label for r in labels.collect()}
-    assert got == propagate(edges, rounds)
+    assert (got, labels.first().converged) == propagate(edges, rounds)
     total = sum(edges.values())
     degree, inner = defaultdict(float), 0.0
     for (a, b), w in edges.items():
@@ -53,8 +64,24 @@ def test_communities_and_modularity(spark, rounds):
 def test_hub_with_a_third_of_all_edges(spark):
     edges = {(0, i): 1.0 for i in range(1, 400)}
     edges |= {(i, i + 1): 2.0 for i in range(1, 800)}
-    df = spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "src int, dst int, weight double")
-    assert {r.node: r.label for r in graph.communities(df, 3).collect()} == propagate(edges, 3)
+    got = graph.communities(edge_table(spark, edges), rounds=3).collect()
+    assert {r.node: r.label for r in got} == propagate(edges, 3)[0]
+
+
+def test_linked_nodes_agree_and_lone_ones_stay(spark):
+    nodes = spark.createDataFrame([(9,), (0,)], "node int")
+    rows = graph.communities(edge_table(spark, {(0, 1): 1.0}), nodes).collect()
+    labels = {r.node: r.label for r in rows}
+    assert labels[0] == labels[1] and labels[9] == 9 and all(r.converged for r in rows)
+
+
+def test_two_cliques_joined_by_an_edge(spark):
+    edges = {(a + low, b + low): 1.0 for low in (0, 6) for a in range(6) for b in range(a + 1, 6)} | {(0, 6): 1.0}
+    df = edge_table(spark, edges)
+    labels = graph.communities(df)
+    got = {r.node: r.label for r in labels.collect()}
+    assert len({got[n] for n in range(6)}) == 1 == len({got[n] for n in range(6, 12)}) and got[0] != got[6]
+    assert graph.modularity(df, labels).first().modularity > 0.4
 
 
 def test_jaccard_edges(spark):

@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from compare import connect, differences
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from corpusloom.plans.oracle import ORACLE
+from corpusloom.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,9 +14,20 @@ def con(folder):
     return connect(folder)
 
 
-def test_only_iterative_queries_lack_an_oracle():
-    assert set(QUERIES) - set(ORACLE) == {"M4_kmeans_fit"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
+
+
+def test_communities_hold_most_weight(spark, folder):
+    row = QUERIES["R5_modularity"](spark, folder).first()
+    assert row.modularity > 0.1 and row.communities > 1
+    assert all(r.converged for r in QUERIES["R4_document_communities"](spark, folder).select("converged").distinct().collect())
+
+
+def test_no_fit_row_is_misplaced(spark, folder):
+    row = QUERIES["M4_kmeans_fit"](spark, folder).first()
+    assert row.misplaced == 0 and row.settled
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
