@@ -10,6 +10,7 @@ from functools import cached_property, wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions import text
+from corpusloom.functions.fixed_values import FILTER_WORD_LINES
 from corpusloom.operators import clusters, documents, graph, language, reports, vocabulary, weights
 from corpusloom.plans import inputs
 from corpusloom.plans.inputs import english, table, texts
@@ -165,15 +166,20 @@ def english_documents(spark, folder):
 
 @query("F2_keyword_documents")
 def keyword_documents(spark, folder):
-    """A selective list: benchmark words with a dot or a hyphen."""
+    """A selective list: long benchmark words with a dot or a hyphen."""
     words = word_lists.words_of(table(spark, folder, "benchmark"), "text")
-    chosen = words.filter(F.col("term").contains(".") | F.col("term").contains("-"))
+    chosen = words.filter((F.length("term") > 5) & (F.col("term").contains(".") | F.col("term").contains("-")))
     return documents.with_keywords(texts(spark, folder), chosen).select("doc_id")
 
 
 @query("F2_shipped_filter_list")
 def shipped_filter_list(spark, folder):
-    found = documents.with_keywords(texts(spark, folder), word_lists.filter_words(spark), min_hits=1)
+    """Every third document ends with a line of the shipped list."""
+    lines = F.array(*(F.lit(line) for line in FILTER_WORD_LINES))
+    line = F.get(lines, F.col("doc_id") % len(FILTER_WORD_LINES))
+    ended = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" "), line)).otherwise(F.col("text"))
+    docs = texts(spark, folder).withColumn("text", ended)
+    found = documents.with_keywords(docs, word_lists.filter_words(spark), min_hits=1)
     terms = F.array(*(F.lit(r.term) for r in word_lists.filter_words(spark).collect()))
     hits = F.filter(text.tokens("text"), lambda t: F.array_contains(terms, t))
     return found.select("doc_id", F.size(hits).alias("hits"))
