@@ -1,6 +1,6 @@
 """Document filters: language, keywords, sampling."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.fixed_values import MIN_KEYWORD_HITS
 from corpusloom.functions.text import quoted, tokens_sql
@@ -14,20 +14,25 @@ def in_language(docs: DataFrame, lang: str = "en", column: str = "lang") -> Data
     return docs.filter(F.col(column) == lang)
 
 
-def with_keywords(docs: DataFrame, keywords: DataFrame, min_hits: int = MIN_KEYWORD_HITS) -> DataFrame:
-    """Rows with at least ``min_hits`` token occurrences among keywords(term).
+def has_keywords(keywords: DataFrame, min_hits: int = MIN_KEYWORD_HITS) -> Column:
+    """Whether ``text`` has at least ``min_hits`` token occurrences among keywords(term).
 
     The same keyword twice counts twice. The list is a hash set inside the
-    filter, so hits are counted per row and nothing is shuffled; a list of more
-    than ``MOST_KEYWORDS`` terms is refused.
+    expression, so hits are counted per row and nothing is shuffled; a list of
+    more than ``MOST_KEYWORDS`` terms is refused.
     """
     terms = [row.term for row in keywords.select("term").distinct().limit(MOST_KEYWORDS + 1).collect()]
     if len(terms) > MOST_KEYWORDS:
         raise ValueError(f"more than {MOST_KEYWORDS} keywords")
     if not terms:
-        return docs.filter(F.lit(min_hits <= 0))
+        return F.lit(min_hits <= 0)
     hits = F.expr(f"filter({tokens_sql('text')}, t -> t IN ({quoted(terms)}))")
-    return docs.filter(F.size(hits) >= min_hits)
+    return F.coalesce(F.size(hits) >= min_hits, F.lit(False))
+
+
+def with_keywords(docs: DataFrame, keywords: DataFrame, min_hits: int = MIN_KEYWORD_HITS) -> DataFrame:
+    """Rows with at least ``min_hits`` token occurrences among keywords(term)."""
+    return docs.filter(has_keywords(keywords, min_hits))
 
 
 def sample_documents(docs: DataFrame, per_thousand: int, seed: int = 0) -> DataFrame:

@@ -7,24 +7,29 @@ once for vectors. Everything later starts from stored tables.
 from urllib.parse import unquote
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.operators import clusters, documents, language, reports, vocabulary
-from corpusloom.operators.weights import weighting_of
+from corpusloom.operators.weights import Weighting, weighting_of
 from corpusloom.session import stored
 from corpusloom.sources import result_tables, word_lists
 
 
-def label_corpus(docs: DataFrame, model: PipelineModel, lang: str) -> DataFrame:
+def label_corpus(
+    docs: DataFrame, model: PipelineModel, lang: str, keywords: DataFrame | None = None
+) -> DataFrame:
     """(doc_id, lang, text): docs(doc_id, text) labelled and stored once.
 
     Compressed crawl files, which do not split, are then read a single time.
-    Only texts in ``lang`` are kept, since nothing reads the others again.
+    Only texts in ``lang`` that pass the keywords are kept, since nothing reads the others again.
     Counting languages reads one small column. Each task writes one file;
     a folder per language would take each task as many files as languages.
     """
     labelled = language.label_language(docs.select("doc_id", "text"), model)
-    kept = F.when(F.col("predicted") == lang, F.col("text"))
+    wanted = F.col("predicted") == lang
+    if keywords is not None:
+        wanted = wanted & documents.has_keywords(keywords)
+    kept = F.when(wanted, F.col("text"))
     return stored(
         labelled.select("doc_id", F.col("predicted").alias("lang"), kept.alias("text")), "labelled"
     )
@@ -73,13 +78,13 @@ def run_clustering(
     vocabulary. ``partitions`` makes the fit independent of the file layout.
     """
     spark = docs.sparkSession
-    labelled = label_corpus(docs, model, lang)
+    labelled = label_corpus(docs, model, lang, keywords)
     store_languages(labelled, root, job_id)
     chosen = documents.in_language(labelled, lang).select(
         "doc_id", "text", F.col("_metadata.file_path").alias("file")
     )
     if keywords is not None:
-        chosen = documents.with_keywords(chosen, keywords)
+        chosen = chosen.filter("text IS NOT NULL")
 
     frequencies = stored(vocabulary.document_frequency(chosen), "frequencies")
     weighting = weighting_of(frequencies, job_vocabulary(frequencies, words, keywords))
@@ -92,6 +97,31 @@ def run_clustering(
         clusters.nearest_center(vectors, centers, k, len(weighting.terms)), "assignment"
     )
     store_clusters(assignment, centers, weighting.vocabulary(spark), k, root, job_id)
+    save_model(weighting, centers, k, root, job_id)
+
+
+def save_model(weighting: Weighting, centers: DataFrame, k: int, root: str, job_id: int) -> None:
+    """A run's vocabulary with frequencies, its size and its centers, as tables by job."""
+    spark = centers.sparkSession
+    result_tables.store(weighting.vocabulary(spark).withColumn("job_id", F.lit(job_id)), root, "model_terms")
+    size = spark.createDataFrame([(job_id, weighting.documents, k)], "job_id int, documents bigint, k int")
+    result_tables.store(size, root, "model_size")
+    result_tables.store(centers.withColumn("job_id", F.lit(job_id)), root, "model_centers")
+
+
+def score_documents(spark: SparkSession, root: str, job_id: int, docs: DataFrame) -> DataFrame:
+    """``docs`` without its text, with cluster_id, d2 and cos_sim under the saved model of a run, also of an earlier session."""
+
+    def saved(name):
+        return result_tables.load(spark, root, name).filter(F.col("job_id") == job_id)
+
+    size = saved("model_size").first()
+    if size is None:
+        raise ValueError(f"no model of job {job_id}")
+    rows = saved("model_terms").select("term", "df", "idf").orderBy("term").collect()  # the vocabulary of a run
+    weighting = Weighting(tuple((r.term, r.df, r.idf) for r in rows), size.documents)
+    centers = saved("model_centers").select("cluster_id", "idx", "w")
+    return clusters.nearest_center(weighting.vectors(docs), centers, size.k, len(rows))
 
 
 def store_clusters(

@@ -359,6 +359,13 @@ SELECT k, (SELECT count(*) FROM en) AS documents, CAST(0 AS BIGINT) AS misplaced
         assigned("scored_turns", "conversations", "new_w", "conv_id, turn", "center"),
     )
     + "SELECT conv_id, turn, cluster_id, round(d2, 6) AS d2, round(cos_sim, 6) AS cos_sim FROM scored_turns",
+    "M8_saved_model": with_(
+        *LLOYD,
+        counted("new_tok", "conversations", "conv_id, turn"),
+        weighted("new_w", "new_tok", "conv_id, turn"),
+        assigned("scored_turns", "conversations", "new_w", "conv_id, turn", "center"),
+    )
+    + "SELECT conv_id, turn, cluster_id, round(d2, 6) AS d2, round(cos_sim, 6) AS cos_sim FROM scored_turns",
     "A6_cluster_sizes": with_(*CLUSTERED, SIZES) + "SELECT cluster_id, num_docs FROM sizes",
     "A7_top_documents": with_(*CLUSTERED, TOPDOCS)
     + "SELECT cluster_id, doc_id, round(cos_sim, 6) AS cos_sim FROM top",

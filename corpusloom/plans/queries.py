@@ -13,6 +13,7 @@ from corpusloom.functions import text
 from corpusloom.functions.fixed_values import FILTER_WORD_LINES
 from corpusloom.operators import clusters, documents, graph, language, reports, vocabulary, weights
 from corpusloom.plans import inputs
+from corpusloom.plans.clustering_run import save_model, score_documents
 from corpusloom.plans.inputs import english, table, texts
 from corpusloom.session import scratch_path, stored
 from corpusloom.sources import backlog, crawl_text, result_tables, word_lists
@@ -107,7 +108,13 @@ def backlog_sample(spark, folder):
 
 @query("S7_backlog_claim")
 def backlog_claim(spark, folder):
-    return backlog.claim(inputs.file_paths(spark, folder), inputs.claims(spark, folder))
+    """Every month's claims kept as its newest version and read back."""
+    paths, root = stored(inputs.file_paths(spark, folder), "backlog"), scratch_path(spark, "backlog")
+    claimed = stored(backlog.claim(paths, inputs.claims(spark, folder)), "claimed")
+    for row in claimed.select("year_month").distinct().collect():  # twelve months
+        backlog.save_version(paths, root, row.year_month)
+        backlog.save_version(claimed, root, row.year_month)
+    return backlog.latest(spark, root)
 
 
 @query("J8_claimed_by_job")
@@ -526,6 +533,15 @@ def fold_in(spark, folder):
     return run.nearest(run.fitted.vectors(turns))
 
 
+@query("M8_saved_model")
+def saved_model(spark, folder):
+    """The same from the model's tables, as a later session would read them."""
+    run, root = clustering(spark, folder), scratch_path(spark, "results")
+    save_model(run.fitted, run.centers, run.k, root, JOB)
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    return score_documents(spark, root, JOB, turns)
+
+
 @query("A6_cluster_sizes")
 def cluster_sizes(spark, folder):
     return clustering(spark, folder).sizes

@@ -1,11 +1,13 @@
-"""Backlog of crawl files: register, sample, claim.
+"""Backlog of crawl files: register, sample, claim, keep versions.
 
 ``file_paths(year_month, file_path, job_id)``; ``job_id`` is null until a run
 has claimed the file. The table is partitioned by month, so every step reads
 one month.
 """
 
-from pyspark.sql import DataFrame, functions as F
+import time
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 KEY = ["year_month", "file_path"]
 
@@ -64,3 +66,22 @@ def claim(file_paths: DataFrame, claims: DataFrame) -> DataFrame:
         file_paths.join(first.select(*KEY, "first.claimed_by"), KEY, "left")
         .select(*KEY, F.coalesce("job_id", "claimed_by").alias("job_id"))
     )
+
+
+def save_version(file_paths: DataFrame, root: str, year_month: str) -> None:
+    """Write a month of the backlog as its newest version; earlier versions stay as they are."""
+    month = file_paths.filter(F.col("year_month") == year_month).select("file_path", F.col("job_id").cast("int"))
+    month.write.parquet(f"{root}/year_month={year_month}/version={time.time_ns()}")
+
+
+def latest(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version of every month: (year_month, file_path, job_id)."""
+    schema = "file_path string, job_id int, year_month string, version bigint"
+    every = spark.read.schema(schema).parquet(root)
+    newest = every.groupBy("year_month").agg(F.max("version").alias("version"))  # a row per month
+    return every.join(F.broadcast(newest), ["year_month", "version"]).select(*KEY, "job_id")
+
+
+def release(file_paths: DataFrame, job_id: int) -> DataFrame:
+    """The backlog with the files of a failed job unclaimed again."""
+    return file_paths.withColumn("job_id", F.when(F.col("job_id") != job_id, F.col("job_id")))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import language
 from corpusloom.plans import inputs
-from corpusloom.plans.backlog_run import run_month
-from corpusloom.sources import result_tables
+from corpusloom.plans.backlog_run import run_month, run_next
+from corpusloom.sources import backlog, result_tables
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +49,20 @@ def test_failed_round_claims_nothing(spark, crawl):
 def test_nothing_left(spark, crawl):
     root, paths, model = crawl
     assert run_month(spark, paths, "2015-07", 0, 13, model, root) is paths
+
+
+def test_claims_are_stored_before_the_work_and_released_on_error(spark, crawl, tmp_path):
+    root, paths, model = crawl
+    store = f"{tmp_path}/backlog"
+    backlog.save_version(paths, store, "2015-06")
+
+    def jobs():
+        return sorted(r.job_id or 0 for r in backlog.latest(spark, store).collect())
+
+    run_next(spark, store, "2015-06", 2, 21, model, root, f"{root}/files/", job_type="lang_only")
+    assert jobs() == [0, 0, 21, 21]
+    with pytest.raises(Exception):
+        run_next(spark, store, "2015-06", 1, 22, model, root, f"{root}/missing/", job_type="lang_only")
+    assert jobs() == [0, 0, 21, 21]
+    run_next(spark, store, "2015-06", 2, 23, model, root, f"{root}/files/", job_type="lang_only")
+    assert jobs() == [21, 21, 23, 23]
