@@ -41,16 +41,17 @@ STRICT = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: The same matches without a second look at the inside of a run of letters or digits, which
-#: cannot begin a match if the run's start (or the place after the last match) did not.
+#: cannot begin a match if the run's start (or the place after the last match) did not. Groups
+#: at the end repeat without backtracking, so that long runs need no deep stack.
 RUNS = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
-    "ip": r"(?:(?<![0-9])|\G)[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-    "card": STRICT["card"],
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
+    "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": STRICT["phone"],
 }
 #: Wider ones, for candidates beside the strict matches.
 WIDE = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]+(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]+)+",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]+(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]+)++",
     "ip": r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}",
     "card": r"[0-9]{4}(?:[\x20.-]?[0-9]{4}){2}[\x20.-]?[0-9]{1,7}",
     "phone": r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}",
