@@ -15,12 +15,14 @@ Two texts agree in a coordinate with probability equal to their likeness.
 
 Joining: bands of ``ROWS`` coordinates are buckets. In each bucket every text
 is compared with one other, its centre: the text that meets the most others in
-all its buckets. A group of any size so costs a comparison per text and not per
-pair. Texts that are not like the centre stay in the bucket for another round;
-once at most ``REST`` are left in it, those that agree in enough coordinates
-are compared with each other, and larger rests choose a new centre. ``BANDS``
-bands find two texts of likeness 0.8 with probability 0.999; a pair of such
-likeness agrees in under ``AGREE`` of all coordinates once in 30,000.
+all its buckets. Those that are not like it choose a new centre, until at most
+``REST`` are left. This joins most of a group of any size at a comparison per
+text. Then texts of a bucket that are not in one class yet, of whatever centre,
+are compared in pairs if they agree in enough coordinates: first the pair of any
+two classes that agrees in the most, then every pair of classes that are still
+apart. Blocks of at most about ``BLOCK`` texts meet in a task. ``BANDS`` bands
+find two texts of likeness 0.8 with probability 0.999; a pair of such likeness
+agrees in under ``AGREE`` of all coordinates once in 30,000.
 
 Equal texts are one text until the end. A null text is the empty one, and all
 empty texts are one class. Null keys are kept; a class is named by its least
@@ -40,6 +42,7 @@ LIKENESS = 0.8
 BANDS, ROWS = 24, 6
 COORDINATES = BANDS * ROWS
 REST = 256
+BLOCK = 512
 AGREE = 0.66
 SLICE = 2_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -157,17 +160,16 @@ def likeness(a, b) -> float:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bands) of every row; a text's buckets, and then a byte of each coordinate, in one value."""
+    """(doc_id, key, bands, marks) of every row: a text's buckets, and a byte of each coordinate."""
 
     def run(batches):
         for batch in slices(batches, "text", SLICE):
             found = signatures(strings(batch.column("text")))
-            rows = zip(bands(found).astype("<u8"), found.astype(np.uint8))
-            packed = pa.array([own.tobytes() + marks.tobytes() for own, marks in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), packed], ["doc_id", "key", "bands"])
+            packed = [pa.array([row.tobytes() for row in part], pa.binary()) for part in (bands(found).astype("<u8"), found.astype(np.uint8))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *packed], ["doc_id", "key", "bands", "marks"])
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, key binary, bands binary")
+    return chosen.mapInArrow(run, "doc_id long, key binary, bands binary, marks binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -196,10 +198,10 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((key, first_id) of every distinct text, (key, other) of verified links between them)."""
+    """((key, first_id) of every distinct text, (key, label) of those that share a bucket)."""
     signed = kept(_signed(docs), "signatures")
     texts = kept(
-        signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.max("bands").alias("bands")), "distinct-texts"
+        signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.max("bands").alias("bands"), F.max("marks").alias("marks")), "distinct-texts"
     )
     places = F.expr(f"transform(sequence(0, {BANDS - 1}), i -> substring(bands, i * 8 + 1, 8))")
     spread = texts.select(F.explode(places).alias("bucket"), "key")
@@ -213,11 +215,11 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     same = rows.doc_id.eqNullSafe(wanted.first_id) & (rows.key == wanted.key)
     found = rows.join(wanted, same, "left_semi")
     bodies = kept(found.dropDuplicates(["doc_id", "key"]).select("key", "text"), "texts-to-compare")
-    made = []
+    every, checks = members.select("bucket", "key"), []
 
     def compared(pairs):
         checked = kept(_verified(pairs, bodies), "compared")
-        made.append(checked.filter("linked").select("key", "other"))
+        checks.append(checked)
         return checked
 
     while True:
@@ -228,31 +230,75 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         left = met.join(checked.filter("NOT linked"), ["key", "other"]).select("bucket", "key", "weight")
         sizes = left.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
         left = kept(left.join(sizes, "bucket"), "left")
-        marks = texts.select("key", F.substring("bands", BANDS * 8 + 1, COORDINATES).alias("marks"))
-        small = left.filter(f"n <= {REST}").select("bucket", "key").join(marks, "key")
-        compared(_agreeing(small).distinct())
         members = left.filter(f"n > {REST}").select("bucket", "key", "weight")
         if members.isEmpty():
-            every = made[0]
-            for part in made[1:]:
-                every = every.unionByName(part)
-            return texts.select("key", "first_id"), every
-
-
-def _agreeing(members: DataFrame) -> DataFrame:
-    """(key, other) of texts in one bucket, of bounded size, that agree in enough coordinates."""
+            break
+    own = classes(_union(checks).filter("linked"))
+    labels = kept(wanted.select("key").join(own, "key", "left").select("key", F.coalesce("label", "key").alias("label")), "labels")
+    marks = texts.select("key", "marks")
+    for best in (True, False):
+        pairs = _apart(every, labels, marks, best)
+        done = _union(checks).select(F.least("key", "other").alias("key"), F.greatest("key", "other").alias("other"))
+        checked = compared(pairs.join(done, ["key", "other"], "left_anti"))
+        named = checked.filter("linked").join(labels, "key").select("other", F.col("label").alias("near"))
+        named = named.join(labels.withColumnRenamed("key", "other"), "other").select(F.col("near").alias("key"), F.col("label").alias("other"))
+        joined = classes(named).select(F.col("key").alias("label"), F.col("label").alias("first"))
+        labels = kept(labels.join(joined, "label", "left").select("key", F.coalesce("first", "label").alias("label")), "labels")
+    return texts.select("key", "first_id"), labels
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every
+
+
+def _apart(members: DataFrame, labels: DataFrame, marks: DataFrame, best: bool) -> DataFrame:
+    """(key, other), key first, of texts in one bucket and of different labels that agree in enough coordinates.
+
+    With ``best``, only the pair of any two labels that agrees in the most. A
+    bucket's most frequent label is dealt into blocks, and so are the other
+    texts, by their hash; blocks of the others meet each other and those of the label.
+    """
+    named = kept(members.join(labels, "key"), "named")
+    counts = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    most = F.max(F.struct("n", "label"))
+    mixed_ = counts.groupBy("bucket").agg(most["label"].alias("common"), most["n"].alias("hot"), (F.sum("n") - most["n"]).alias("cold"))
+    rows = named.join(mixed_.filter("cold > 0"), "bucket")
+    rows = rows.withColumn("hots", F.ceil(F.col("hot") / BLOCK)).withColumn("colds", F.ceil(F.col("cold") / BLOCK))
+    part = "if(label = common, -1 - pmod(xxhash64(key), hots), pmod(xxhash64(key), colds))"
+    rows = rows.withColumn("part", F.expr(part)).join(marks, "key")
+    others = "transform(sequence(0, colds - 1), i -> struct(least(i, part) AS low, greatest(i, part) AS high))"
+    common = "transform(sequence(0, hots - 1), p -> struct(-1 - p AS low, part AS high))"
+    meet = F.expr(f"if(part < 0, {others}, concat({others}, {common}))")
+    dealt = rows.select("bucket", "key", "label", "marks", "part", F.explode(meet).alias("meet"))
+    dealt = dealt.select("bucket", "key", "label", "marks", "part", "meet.low", "meet.high")
 
     def run(table: pa.Table) -> pa.Table:
-        keys = sorted(set(zip(table["key"].to_pylist(), table["marks"].to_pylist())))
-        marks = np.frombuffer(b"".join(m for _, m in keys), dtype=np.uint8).reshape(len(keys), COORDINATES)
-        found = []
-        for i in range(1, len(keys)):
-            near = np.flatnonzero((marks[:i] == marks[i]).mean(axis=1) >= AGREE)
-            found += [(keys[i][0], keys[j][0]) for j in near.tolist()]
-        own, other = zip(*found) if found else ((), ())
-        return pa.table({"key": pa.array(own, pa.binary()), "other": pa.array(other, pa.binary())})
-
-    return members.select("bucket", "key", "marks").groupBy("bucket").applyInArrow(run, "key binary, other binary")
+        low, high = table["low"][0].as_py(), table["high"][0].as_py()
+        part = table["part"].to_numpy()
+        key, label = (np.array(table[c].to_pylist(), dtype=object) for c in ("key", "label"))
+        sign = np.frombuffer(b"".join(table["marks"].to_pylist()), dtype=np.uint8).reshape(len(key), COORDINATES)
+        number = np.unique(label, return_inverse=True)[1]
+        right = np.flatnonzero(part == high)
+        found: dict[tuple, tuple] = {}
+        for i in np.flatnonzero(part == low).tolist():
+            agree = (sign[right] == sign[i]).sum(axis=1)
+            for at in np.flatnonzero((agree >= AGREE * COORDINATES) & (number[right] != number[i])).tolist():
+                j = int(right[at])
+                pair = (int(agree[at]), *sorted((key[i], key[j])), *sorted((label[i], label[j])))
+                name = pair[3:] if best else pair[1:3]
+                found[name] = max(found.get(name, pair), pair)
+        columns = list(zip(*found.values())) or [()] * 5
+        kinds = (pa.int32(), *[pa.binary()] * 4)
+        return pa.table({c: pa.array(v, t) for c, v, t in zip(("agree", "key", "other", "label", "far"), columns, kinds)})
+
+    made = dealt.groupBy("bucket", "low", "high").applyInArrow(run, "agree int, key binary, other binary, label binary, far binary")
+    if best:
+        top = F.max(F.struct("agree", "key", "other"))
+        return made.groupBy("label", "far").agg(top.alias("top")).select("top.key", "top.other").distinct()
+    return made.select("key", "other").distinct()
 
 
 def classes(edges: DataFrame) -> DataFrame:
@@ -277,8 +323,7 @@ def classes(edges: DataFrame) -> DataFrame:
 
 def labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((key, first_id, label) of every distinct text, (label, class_id) of the classes with several texts)."""
-    texts, edges = links(docs)
-    own = classes(edges)
+    texts, own = links(docs)
     named = kept(texts.join(own, "key", "left").select("key", "first_id", F.coalesce("label", "key").alias("label")), "classes")
     return named, named.groupBy("label").agg(F.min("first_id").alias("class_id"))
 

@@ -71,6 +71,23 @@ def test_classes_against_brute_force(docs, planted):
     assert found_classes(near.near_classes(docs(planted)).collect()) == brute_classes(planted)
 
 
+def test_chains_past_a_centre(docs):
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    rows, chains = [], []
+    for chain in range(30):
+        centre = words(400)
+        a = centre[:395] + words(5)  # like the copies and like b
+        b = words(41) + a[41:]  # like a only
+        copies = [" ".join(centre[:i] + words(1) + centre[i + 1 :]) for i in range(12)]
+        a, b = " ".join(a), " ".join(b)
+        assert min(alike(a, b), *(alike(a, c) for c in copies)) >= 0.8 > max(alike(b, c) for c in copies)
+        chains.append(range(len(rows), len(rows) + 14))
+        rows += [(len(rows) + i, t) for i, t in enumerate([a, b, *copies])]
+    found = {r.doc_id: r.class_id for r in near.near_classes(docs(rows)).collect()}
+    assert [chain for chain in chains if {found[i] for i in chain} != {chain[0]}] == []
+
+
 def test_shingles_against_plain_ones(planted):
     texts = [t or "" for _, t in planted]
     owner, _, count = near.shingles(texts)
