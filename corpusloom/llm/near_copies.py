@@ -11,7 +11,9 @@ same for all texts. An element's weight is cut into regions that double in
 size; the darts of a region arrive in order of rank, so only as many are made
 as the text needs, a few times the number of coordinates whatever its length.
 Each dart names a coordinate, and a text keeps its earliest dart for each.
-Two texts agree in a coordinate with probability equal to their likeness.
+Two texts agree in a coordinate with probability equal to their likeness. A text
+with repeated shingles has a second signature, of its set with all weights 1; of
+other texts it is the same. Either may bring two texts together.
 
 Joining: bands of ``ROWS`` coordinates are buckets. In each bucket every text
 is compared with one other, its centre: the text that meets the most others in
@@ -121,12 +123,28 @@ def darts(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, limit: np.
 
 def signatures(texts: list[str]) -> np.ndarray:
     """A row of ``COORDINATES`` dart numbers for each text."""
+    return signature_pairs(texts)[0]
+
+
+def signature_pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the texts' multisets and of their sets; without repeated shingles they are the same."""
     owner, element, count = shingles(texts)
-    weight = count.astype(np.float64)
-    total = np.bincount(owner, weights=weight, minlength=len(texts))
+    weighted = _earliest(owner, element, count.astype(np.float64), len(texts))
+    repeats = np.unique(owner[count > 1])
+    if not len(repeats):
+        return weighted, weighted
+    own = np.isin(owner, repeats)
+    plain = weighted.copy()
+    plain[repeats] = _earliest(np.searchsorted(repeats, owner[own]), element[own], np.ones(own.sum()), len(repeats))
+    return weighted, plain
+
+
+def _earliest(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, number: int) -> np.ndarray:
+    """The earliest dart of each coordinate, a row for each owner."""
+    total = np.bincount(owner, weights=weight, minlength=number)
     wanted = COORDINATES * np.log(COORDINATES) + 2 * COORDINATES
     limit = wanted / total
-    out = np.zeros(len(texts) * COORDINATES, dtype=np.uint64)
+    out = np.zeros(number * COORDINATES, dtype=np.uint64)
     best = np.full(len(out), np.inf)
     open_ = np.arange(len(owner))
     while len(open_):
@@ -160,12 +178,19 @@ def likeness(a, b) -> float:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bands, marks) of every row: a text's buckets, and a byte of each coordinate."""
+    """(doc_id, key, bands, marks) of every row: a text's buckets, and a byte of each coordinate.
+
+    Both are those of the multiset, followed by those of the set where it differs.
+    """
 
     def run(batches):
         for batch in slices(batches, "text", SLICE):
-            found = signatures(strings(batch.column("text")))
-            packed = [pa.array([row.tobytes() for row in part], pa.binary()) for part in (bands(found).astype("<u8"), found.astype(np.uint8))]
+            both = signature_pairs(strings(batch.column("text")))
+            twice = (both[0] != both[1]).any(axis=1)
+            packed = []
+            for first, second in ([bands(s).astype("<u8") for s in both], [s.astype(np.uint8) for s in both]):
+                rows = [a.tobytes() + (b.tobytes() if more else b"") for a, b, more in zip(first, second, twice)]
+                packed.append(pa.array(rows, pa.binary()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *packed], ["doc_id", "key", "bands", "marks"])
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string").alias("text"))
@@ -203,7 +228,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = kept(
         signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.max("bands").alias("bands"), F.max("marks").alias("marks")), "distinct-texts"
     )
-    places = F.expr(f"transform(sequence(0, {BANDS - 1}), i -> substring(bands, i * 8 + 1, 8))")
+    places = F.expr("array_distinct(transform(sequence(0, length(bands) div 8 - 1), i -> substring(bands, i * 8 + 1, 8)))")
     spread = texts.select(F.explode(places).alias("bucket"), "key")
     shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     met = kept(spread.join(shared, "bucket"), "buckets")
@@ -279,12 +304,19 @@ def _apart(members: DataFrame, labels: DataFrame, marks: DataFrame, best: bool)
         low, high = table["low"][0].as_py(), table["high"][0].as_py()
         part = table["part"].to_numpy()
         key, label = (np.array(table[c].to_pylist(), dtype=object) for c in ("key", "label"))
-        sign = np.frombuffer(b"".join(table["marks"].to_pylist()), dtype=np.uint8).reshape(len(key), COORDINATES)
+        marks = table["marks"].to_pylist()
+        weighted, plain = (
+            np.frombuffer(b"".join(own), dtype=np.uint8).reshape(len(key), COORDINATES)
+            for own in ([m[:COORDINATES] for m in marks], [m[-COORDINATES:] for m in marks])
+        )
+        twice = any(len(m) > COORDINATES for m in marks)
         number = np.unique(label, return_inverse=True)[1]
         right = np.flatnonzero(part == high)
         found: dict[tuple, tuple] = {}
         for i in np.flatnonzero(part == low).tolist():
-            agree = (sign[right] == sign[i]).sum(axis=1)
+            agree = (weighted[right] == weighted[i]).sum(axis=1)
+            if twice:
+                agree = np.maximum(agree, (plain[right] == plain[i]).sum(axis=1))
             for at in np.flatnonzero((agree >= AGREE * COORDINATES) & (number[right] != number[i])).tolist():
                 j = int(right[at])
                 pair = (int(agree[at]), *sorted((key[i], key[j])), *sorted((label[i], label[j])))

@@ -88,6 +88,16 @@ def test_chains_past_a_centre(docs):
     assert [chain for chain in chains if {found[i] for i in chain} != {chain[0]}] == []
 
 
+def test_a_text_and_itself_repeated(docs):
+    rng = random.Random(13)
+    rows = []
+    for _ in range(12):
+        text = " ".join(f"w{rng.randrange(10**7)}" for _ in range(200))
+        rows += [(len(rows) + i, " ".join([text] * times)) for i, times in enumerate((1, 2, 3, 9))]
+    found = found_classes(near.near_classes(docs(rows)).collect())
+    assert found == brute_classes(rows) and len(found) == 12
+
+
 def test_shingles_against_plain_ones(planted):
     texts = [t or "" for _, t in planted]
     owner, _, count = near.shingles(texts)
