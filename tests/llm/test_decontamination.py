@@ -50,6 +50,21 @@ def test_recall_of_edited_items(spark):
         assert sum(i in f for i, f in enumerate(found)) >= least * len(items)
 
 
+def test_recall_at_the_full_distance(spark):
+    rng = random.Random(3)
+    items = [r.text for r in spark.read.parquet(f"{MEDIUM}/benchmark.parquet").orderBy("item_id").collect()]
+    index = leaks.build(list(range(len(items))), items)
+    texts, own = [], []
+    for rate in (0.2, 0.22, 0.24, 0.26):
+        for i, item in enumerate(items):
+            text, whole = edited(item, rate, rng), leaks.plain(item)
+            if 0.17 * len(whole) <= leaks.distance_within(whole, leaks.plain(text)) <= leaks.allowed(whole):
+                texts.append(f"{items[i - 1]} {text} {items[i - 2]}")
+                own.append(i)
+    found = leaks.leaks(index, texts)
+    assert len(own) > 200 and sum(i in f for i, f in zip(own, found)) >= 0.95 * len(own)
+
+
 def test_query_against_every_pair(spark, docs, tmp_path):
     rng = random.Random(5)
     folder = "/root/testdata/sf0.001"
