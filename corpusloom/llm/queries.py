@@ -17,6 +17,7 @@ from corpusloom.llm import (
     secrets,
     token_files,
     toxicity,
+    variants,
 )
 from corpusloom.llm.word_encoder import tokenizer_path
 
@@ -101,3 +102,8 @@ def op8_derivatives(spark, folder):
 @query("op4_personal_data")
 def op4_personal_data(spark, folder):
     return personal_data.report(table(spark, folder, "documents"))
+
+
+@query("op13_variants")
+def op13_variants(spark, folder):
+    return variants.grouped(table(spark, folder, "documents"))
