@@ -63,5 +63,35 @@ SELECT page_id, host, path, rule,
         WHEN 'net/' THEN 'block' ELSE CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END END AS verdict,
     round(rate, 6) AS bad_rate, round(bound, 6) AS bad_bound
 FROM judged
-"""
+""",
+    "op11_ranking": r"""
+WITH words AS (
+    SELECT doc_id, row_number() OVER () AS row_no,
+        list_transform(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+            lambda t : translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms
+    FROM documents
+), sized AS (
+    SELECT row_no, doc_id, coalesce(len(terms), 0) AS n FROM words
+), totals AS (
+    SELECT count(*) FILTER (n > 0) AS big_n, sum(n)::BIGINT AS big_l FROM sized
+), held AS (
+    SELECT row_no, term, count(*) AS tf FROM (SELECT row_no, unnest(terms) AS term FROM words) GROUP BY row_no, term
+), wanted AS (
+    SELECT item_id, term, count(*) AS repeats FROM (
+        SELECT item_id, unnest(list_transform(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+            lambda t : translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS term
+        FROM benchmark) GROUP BY item_id, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM held CROSS JOIN totals WHERE term IN (SELECT term FROM wanted) GROUP BY term, big_n
+), scored AS (
+    SELECT item_id, row_no, doc_id,
+        sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * big_n) // big_l))))::BIGINT AS score
+    FROM wanted JOIN weights USING (term) JOIN held USING (term) JOIN sized USING (row_no) CROSS JOIN totals
+    GROUP BY item_id, row_no, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+) WHERE rank <= 20
+""",
 }

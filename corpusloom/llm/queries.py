@@ -10,9 +10,11 @@ from corpusloom.llm import (
     decontamination,
     derivatives,
     fingerprints,
+    lexicon,
     near_copies,
     packing,
     personal_data,
+    ranking,
     reputation,
     secrets,
     token_files,
@@ -107,3 +109,13 @@ def op4_personal_data(spark, folder):
 @query("op13_variants")
 def op13_variants(spark, folder):
     return variants.grouped(table(spark, folder, "documents"))
+
+
+@query("op11_ranking")
+def op11_ranking(spark, folder):
+    return ranking.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op12_lexicon")
+def op12_lexicon(spark, folder):
+    return lexicon.digests(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
