@@ -51,6 +51,11 @@ def in_second_half(node: str, turn: int):
     return digit.isin(*"13579bdf")
 
 
+def in_part(node: str, turn: int, parts: int):
+    """The part, of ``parts``, to which a node belongs in a round; another deal each round."""
+    return F.pmod(F.xxhash64(F.col(node), F.lit(turn)), F.lit(parts))
+
+
 def communities(edges: DataFrame, nodes: DataFrame | None = None, rounds: int = ROUNDS) -> DataFrame:
     """(node, label, converged) by label propagation until no label changes.
 

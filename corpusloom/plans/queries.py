@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions import text
 from corpusloom.functions.fixed_values import FILTER_WORD_LINES
-from corpusloom.operators import clusters, documents, graph, language, reports, vocabulary, weights
+from corpusloom.operators import clusters, documents, graph, language, modularity, reports, vocabulary, weights
 from corpusloom.plans import inputs
 from corpusloom.plans.clustering_run import save_model, score_documents
 from corpusloom.plans.inputs import english, table, texts
@@ -672,11 +672,30 @@ def document_communities(spark, folder):
 
 
 @query("R5_modularity")
-def modularity(spark, folder):
+def propagated_modularity(spark, folder):
     edges = stored(document_edges(spark, folder), "edges")
     return graph.modularity(edges, graph.communities(edges))
 
 
+@query("R4_modular_communities")
+def modular_communities(spark, folder):
+    """Communities by modularity of documents and terms: that levels rise and nest, and that their modularity is that of their labels."""
+    edges = stored(document_edges(spark, folder), "edges")
+    found = modularity.modular_communities(edges)
+    values = [r.modularity for r in found.levels.orderBy("level").collect()]  # a row per level, at most 13
+    checked = graph.modularity(edges, found.labels()).first()
+    upper = found.path.select("node", (F.col("level") - 1).alias("level"), F.col("label").alias("above"))
+    parents = found.path.join(upper, ["node", "level"]).groupBy("level", "label").agg(F.countDistinct("above").alias("n"))
+    return edges.select(F.explode(F.array("src", "dst")).alias("node"), (F.col("weight") / 2).alias("weight")).agg(
+        F.countDistinct("node").alias("nodes"),
+        F.round(F.sum("weight"), 3).alias("weight"),
+        F.lit(all(a < b for a, b in zip(values, values[1:])) and len(values) > 1).alias("rises"),
+        F.lit(parents.filter("n > 1").isEmpty()).alias("nests"),
+        F.lit(abs(checked.modularity - values[-1]) < 1e-9).alias("agrees"),
+        F.lit(found.path.groupBy("level").count().select("count").distinct().count() == 1).alias("whole"),
+    )
+
+
 @query("R6_keyword_scale")
 def keyword_scale(spark, folder):
     return graph.display_weights(clustering(spark, folder).keywords).select("cluster_id", "term", "scale")
