@@ -39,7 +39,7 @@ def store_languages(labelled: DataFrame, root: str, job_id: int) -> None:
     counts = language.language_counts(labelled)
     named = language.named_counts(counts, word_lists.language_names(labelled.sparkSession))
     rows = named.select(F.lit(job_id).alias("job_id"), "lang", F.col("n").alias("count"))
-    result_tables.store(rows, root, "job_languages")
+    result_tables.store(rows, root, "job_languages", [job_id])
 
 
 def run_languages(docs: DataFrame, model: PipelineModel, root: str, job_id: int) -> None:
@@ -103,10 +103,10 @@ def run_clustering(
 def save_model(weighting: Weighting, centers: DataFrame, k: int, root: str, job_id: int) -> None:
     """A run's vocabulary with frequencies, its size and its centers, as tables by job."""
     spark = centers.sparkSession
-    result_tables.store(weighting.vocabulary(spark).withColumn("job_id", F.lit(job_id)), root, "model_terms")
+    result_tables.store(weighting.vocabulary(spark).withColumn("job_id", F.lit(job_id)), root, "model_terms", [job_id])
     size = spark.createDataFrame([(job_id, weighting.documents, k)], "job_id int, documents bigint, k int")
-    result_tables.store(size, root, "model_size")
-    result_tables.store(centers.withColumn("job_id", F.lit(job_id)), root, "model_centers")
+    result_tables.store(size, root, "model_size", [job_id])
+    result_tables.store(centers.withColumn("job_id", F.lit(job_id)), root, "model_centers", [job_id])
 
 
 def score_documents(spark: SparkSession, root: str, job_id: int, docs: DataFrame) -> DataFrame:
@@ -130,7 +130,7 @@ def store_clusters(
     """Sizes, keyword lists and top documents of a clustering."""
 
     def store(table, name):
-        result_tables.store(table.withColumn("job_id", F.lit(job_id)), root, name)
+        result_tables.store(table.withColumn("job_id", F.lit(job_id)), root, name, [job_id])
 
     sizes = clusters.cluster_sizes(assignment, k)
     store(sizes.withColumn("cluster_label", F.lit(None).cast("string")), "job_clusters")

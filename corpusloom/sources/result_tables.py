@@ -1,7 +1,8 @@
-"""Result tables of a run: Parquet, one partition per job.
+"""Result tables of a run: Parquet, one folder per job and version.
 
-A sink replaces the partitions of the jobs it is given and leaves the others,
-so a run that is tried again never doubles its rows.
+A sink publishes a new version of the jobs it is given and leaves the others,
+so a run that is tried again never doubles its rows, and readers see all rows of
+a version or none.
 """
 
 import time
@@ -9,6 +10,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from corpusloom.sources import versions
+
 KEYS = {
     "job": ["job_id"],
     "job_languages": ["job_id", "lang"],
@@ -20,17 +23,38 @@ KEYS = {
 }
 
 
-def store(table: DataFrame, root: str, name: str) -> None:
-    (
-        table.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("job_id")
-        .parquet(f"{root}/{name}")
-    )
+def store(table: DataFrame, root: str, name: str, jobs: list[int] | None = None) -> None:
+    """Publish the rows of each job as that job's newest version.
+
+    The table is written once, aside; then each job's folder is renamed to its
+    next version. ``jobs`` are the jobs that the table speaks for: those of them
+    without a row get an empty version, so that no earlier rows are left.
+    """
+    spark = table.sparkSession
+    aside = versions.building(f"{root}/{name}")
+    table.write.partitionBy("job_id").parquet(aside)
+    built = {job: f"{aside}/job_id={job}" for job in _jobs(spark, aside)}
+    for job in jobs or []:
+        if str(job) not in built:
+            built[str(job)] = versions.building(f"{root}/{name}")
+            table.drop("job_id").limit(0).coalesce(1).write.parquet(built[str(job)])
+    for job, folder in built.items():
+        target = f"{root}/{name}/job_id={job}"
+        while not versions.publish(spark, folder, target, versions.newest(spark, target) + 1):
+            pass  # another run of the job was first; this one is the newer
+
+
+def _jobs(spark: SparkSession, folder: str) -> list[str]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/job_id=*")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    return [status.getPath().getName().removeprefix("job_id=") for status in found]
 
 
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+    """The newest version of every job's rows; reading goes on undisturbed while a job is published again."""
+    newest = versions.versions(spark, f"{root}/{name}/job_id=*")  # a folder per job
+    paths = [f"{folder}/version={version}" for folder, version in sorted(newest.items())]
+    return spark.read.option("basePath", f"{root}/{name}").parquet(*paths).drop("version")
 
 
 def of_job(table: DataFrame, job_id: int) -> DataFrame:
