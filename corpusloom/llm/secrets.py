@@ -26,7 +26,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from corpusloom.llm.common import kept, slices, strings, text_key
+from corpusloom.llm.common import free_name, kept, slices, strings, text_key
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -60,9 +60,14 @@ def candidates(text: str) -> list[tuple[str, int, int, str]]:
     if "AKIA" in text:
         found += [("access", *m.span(), m[0]) for m in ACCESS.finditer(text) if len(m[0]) >= 18]
     found += [("hex", *m.span(), m[0]) for m in HEX.finditer(text)]
+    base = sorted((s, e) for _, s, e, _ in found)
+    nth, reach = 0, 0  # both kinds of spans come in order of start: one sweep over both
     for m in OTHER.finditer(text):
         start, end = m.span()
-        if mixed_kinds(m[0]) and not any(s < end and start < e for _, s, e, _ in found):
+        while nth < len(base) and base[nth][0] < end:
+            reach = max(reach, base[nth][1])
+            nth += 1
+        if reach <= start and mixed_kinds(m[0]):
             found.append(("other", start, end, m[0]))
     return sorted(found, key=lambda c: (c[1], KINDS.index(c[0])))
 
@@ -174,15 +179,16 @@ def redacted(docs: DataFrame, owner: str = "source") -> DataFrame:
     """
     verdicts = kept(_text_verdicts(kept(scanned(docs, owner), "scans")), "copied-values")
     columns = docs.columns
+    key_name, wide_name = free_name(columns, "key"), free_name(columns, "wide")
     may = F.coalesce(F.col("text").cast("string").rlike(MAY_HOLD), F.lit(False))
-    joined_rows = docs.filter(may).withColumn("__key", text_key()).join(
-        verdicts.select(F.col("key").alias("__key"), F.col("wide").alias("__wide")), "__key", "left"
+    joined_rows = docs.filter(may).withColumn(key_name, text_key()).join(
+        verdicts.select(F.col("key").alias(key_name), F.col("wide").alias(wide_name)), key_name, "left"
     )
     place = columns.index("text")
 
     def run(batches):
         for batch in slices(batches):
-            texts, wide = batch.column("text").to_pylist(), batch.column("__wide").to_pylist()
+            texts, wide = batch.column("text").to_pylist(), batch.column(wide_name).to_pylist()
             new = pa.array([t if t is None else without_live(t, w or ()) for t, w in zip(texts, wide)], pa.string())
             arrays = [batch.column(c) for c in columns]
             arrays[place] = new
@@ -192,7 +198,7 @@ def redacted(docs: DataFrame, owner: str = "source") -> DataFrame:
                 arrays[at] = pa.array(size, batch.schema.field("n_chars").type)
             yield pa.RecordBatch.from_arrays(arrays, columns)
 
-    changed = joined_rows.select(*columns, "__wide").mapInArrow(run, docs.schema)
+    changed = joined_rows.select(*(F.col(f"`{c}`") for c in columns), wide_name).mapInArrow(run, docs.schema)
     return docs.filter(~may).unionByName(changed)
 
 

@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from corpusloom.llm import secrets
 from corpusloom.llm.queries import QUERIES
 
@@ -66,3 +68,27 @@ def test_odd_rows(odd, empty):
     assert secrets.redacted(odd).count() == 9
     assert secrets.report(empty).collect() == [] and secrets.redacted(empty).collect() == []
     assert len(secrets.report(odd.drop("source")).collect()) == 9
+
+
+def test_redacted_keeps_columns_of_any_name(spark, docs):
+    rows = docs([(1, "password = abcdefghijklmnop"), (2, "clean"), (None, None)])
+    for name in ("__key", "__wide", "Wide", "wide_", "with.dot"):
+        rows = rows.withColumn(name, F.lit(f"own {name}"))
+    left = secrets.redacted(rows)
+    assert left.columns == rows.columns
+    assert sorted((str(r.doc_id), str(r.text), r["__key"], r["Wide"]) for r in left.collect()) == [
+        ("1", "[secret]", "own __key", "own Wide"), ("2", "clean", "own __key", "own Wide"), ("None", "None", "own __key", "own Wide")
+    ]
+
+
+def test_many_runs_in_one_text_take_linear_time():
+    import time
+
+    def seconds(n):
+        text = " ".join(f"aB3xY{i:07d}zQ9pLmN4tRw8vK" for i in range(n))
+        start = time.perf_counter()
+        assert len(secrets.candidates(text)) == n
+        return time.perf_counter() - start
+
+    seconds(2_000)
+    assert seconds(40_000) < 60 * max(seconds(2_000), 0.01)
