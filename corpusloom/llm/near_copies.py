@@ -19,10 +19,15 @@ Joining: bands of ``ROWS`` coordinates are buckets. In each bucket every text
 is compared with one other, its centre: the text that meets the most others in
 all its buckets. Those that are not like it choose a new centre, until at most
 ``REST`` are left. This joins most of a group of any size at a comparison per
-text. Then texts of a bucket that are not in one class yet, of whatever centre,
-are compared in pairs if they agree in enough coordinates: first the pair of any
-two classes that agrees in the most, then every pair of classes that are still
-apart. Blocks of at most about ``BLOCK`` texts meet in a task. ``BANDS`` bands
+text; a bucket in which a centre is not like a quarter of the others has no such
+group, and no further centre. Then texts of a bucket that are not in one class
+yet, of whatever centre, meet in blocks of at most about ``BLOCK`` texts. Those
+that agree in enough coordinates are compared there by their shingles in 32 bits,
+which travel with them (texts of over ``BAG`` shingles pass by their coordinates
+alone), and only pairs that are alike leave the block, to be checked whole: first
+the pair of any two classes that agrees in the most, then every pair of classes
+that are still apart. So many texts that are alike, but less than ``LIKENESS``,
+make no rows for their pairs. ``BANDS`` bands
 find two texts of likeness 0.8 with probability 0.999; a pair of such likeness
 agrees in under ``AGREE`` of all coordinates once in 30,000.
 
@@ -44,8 +49,11 @@ LIKENESS = 0.8
 BANDS, ROWS = 24, 6
 COORDINATES = BANDS * ROWS
 REST = 256
+STILL_APART = 0.75
 BLOCK = 512
 AGREE = 0.66
+BAG = 16_384
+BAG_SLACK = 0.005
 SLICE = 2_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNIT = 1.0 / (1 << 53)
@@ -197,6 +205,61 @@ def _signed(docs: DataFrame) -> DataFrame:
     return chosen.mapInArrow(run, "doc_id long, key binary, bands binary, marks binary")
 
 
+def bag(element: np.ndarray, count: np.ndarray) -> bytes | None:
+    """A text's shingles in 32 bits each: size of the set, the set, then the rest of the multiset; None if too long."""
+    if count.sum() > BAG:
+        return None
+    repeats = np.repeat(element, count - 1)
+    nth = np.arange(len(repeats)) - np.repeat(np.cumsum(count - 1) - (count - 1), count - 1) + 1
+    parts = [np.array([len(element)]), mixed(element) >> np.uint64(32), mixed(repeats + nth.astype(np.uint64) * BASE) >> np.uint64(32)]
+    return np.concatenate(parts).astype("<u4").tobytes()
+
+
+def _bags(texts: DataFrame) -> DataFrame:
+    """(key, bag) of texts(key, text)."""
+
+    def run(batches):
+        for batch in slices(batches, "text", SLICE):
+            own = strings(batch.column("text"))
+            owner, element, count = shingles(own)
+            cuts = np.searchsorted(owner, np.arange(len(own) + 1))
+            made = [bag(element[a:b], count[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(made, pa.binary())], ["key", "bag"])
+
+    return texts.select("key", "text").mapInArrow(run, "key binary, bag binary")
+
+
+class Bags:
+    """The bags of a block, for the likeness of one text to many."""
+
+    def __init__(self, bags: list[bytes | None]):
+        known = [np.frombuffer(b, "<u4") if b else np.zeros(1, "<u4") for b in bags]
+        self.short = np.array([b is not None for b in bags])
+        self.plain = np.array([int(b[0]) for b in known])
+        self.whole = np.array([len(b) - 1 for b in known])
+        parts = [b[1:] for b in known]
+        self.codes = np.unique(np.concatenate([np.zeros(0, "<u4"), *parts]), return_inverse=True)[1]
+        self.ends = np.cumsum(self.whole)
+        place = np.arange(len(self.codes)) - np.repeat(self.ends - self.whole, self.whole)
+        self.is_plain = place < np.repeat(self.plain, self.whole)
+        self.flag = np.zeros(int(self.codes.max()) + 1 if len(self.codes) else 1, dtype=np.int64)
+
+    def likeness(self, i: int, others: np.ndarray) -> np.ndarray:
+        """The larger of plain and weighted likeness; 1 where a bag is too long to tell."""
+        low, high = self.ends[i] - self.whole[i], self.ends[i]
+        at = np.repeat(self.ends[others] - self.whole[others] - np.cumsum(self.whole[others]) + self.whole[others], self.whole[others]) + np.arange(self.whole[others].sum())
+        owner = np.repeat(np.arange(len(others)), self.whole[others])
+        best = np.zeros(len(others))
+        for only_plain, size in ((True, self.plain), (False, self.whole)):
+            mine = self.codes[low:high][self.is_plain[low:high]] if only_plain else self.codes[low:high]
+            self.flag[mine] = 1
+            hit = self.flag[self.codes[at]] * self.is_plain[at] if only_plain else self.flag[self.codes[at]]
+            common = np.bincount(owner, weights=hit, minlength=len(others))
+            self.flag[mine] = 0
+            best = np.maximum(best, common / np.maximum(1, size[i] + size[others] - common))
+        return np.where(self.short[others] & self.short[i], best, 1.0)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(key, other, linked) of pairs of texts, compared whole."""
 
@@ -252,15 +315,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         met = members.join(members.groupBy("bucket").agg(centre["key"].alias("other")), "bucket").filter("key != other")
         met = kept(met, "met")
         checked = compared(met.select("key", "other").distinct())
-        left = met.join(checked.filter("NOT linked"), ["key", "other"]).select("bucket", "key", "weight")
-        sizes = left.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-        left = kept(left.join(sizes, "bucket"), "left")
-        members = left.filter(f"n > {REST}").select("bucket", "key", "weight")
+        left = met.join(checked, ["key", "other"]).select("bucket", "key", "weight", "linked")
+        apart = F.count(F.when(~F.col("linked"), 1))
+        sizes = left.groupBy("bucket").agg(apart.alias("n"), F.count("*").alias("before"))
+        again = sizes.filter(f"n > {REST} AND n <= before * {STILL_APART}").select("bucket")
+        members = kept(left.filter("NOT linked").join(again, "bucket").select("bucket", "key", "weight"), "left")
         if members.isEmpty():
             break
     own = classes(_union(checks).filter("linked"))
     labels = kept(wanted.select("key").join(own, "key", "left").select("key", F.coalesce("label", "key").alias("label")), "labels")
-    marks = texts.select("key", "marks")
+    marks = kept(texts.select("key", "marks").join(_bags(bodies), "key"), "marks")
     for best in (True, False):
         pairs = _apart(every, labels, marks, best)
         done = _union(checks).select(F.least("key", "other").alias("key"), F.greatest("key", "other").alias("other"))
@@ -297,8 +361,8 @@ def _apart(members: DataFrame, labels: DataFrame, marks: DataFrame, best: bool)
     others = "transform(sequence(0, colds - 1), i -> struct(least(i, part) AS low, greatest(i, part) AS high))"
     common = "transform(sequence(0, hots - 1), p -> struct(-1 - p AS low, part AS high))"
     meet = F.expr(f"if(part < 0, {others}, concat({others}, {common}))")
-    dealt = rows.select("bucket", "key", "label", "marks", "part", F.explode(meet).alias("meet"))
-    dealt = dealt.select("bucket", "key", "label", "marks", "part", "meet.low", "meet.high")
+    dealt = rows.select("bucket", "key", "label", "marks", "bag", "part", F.explode(meet).alias("meet"))
+    dealt = dealt.select("bucket", "key", "label", "marks", "bag", "part", "meet.low", "meet.high")
 
     def run(table: pa.Table) -> pa.Table:
         low, high = table["low"][0].as_py(), table["high"][0].as_py()
@@ -311,13 +375,19 @@ def _apart(members: DataFrame, labels: DataFrame, marks: DataFrame, best: bool)
         )
         twice = any(len(m) > COORDINATES for m in marks)
         number = np.unique(label, return_inverse=True)[1]
+        bags = None
         right = np.flatnonzero(part == high)
         found: dict[tuple, tuple] = {}
         for i in np.flatnonzero(part == low).tolist():
             agree = (weighted[right] == weighted[i]).sum(axis=1)
             if twice:
                 agree = np.maximum(agree, (plain[right] == plain[i]).sum(axis=1))
-            for at in np.flatnonzero((agree >= AGREE * COORDINATES) & (number[right] != number[i])).tolist():
+            close = np.flatnonzero((agree >= AGREE * COORDINATES) & (number[right] != number[i]))
+            if not len(close):
+                continue
+            bags = bags or Bags(table["bag"].to_pylist())
+            close = close[bags.likeness(i, right[close]) >= LIKENESS - BAG_SLACK]
+            for at in close.tolist():
                 j = int(right[at])
                 pair = (int(agree[at]), *sorted((key[i], key[j])), *sorted((label[i], label[j])))
                 name = pair[3:] if best else pair[1:3]
@@ -377,11 +447,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each class, with all its columns: the one with the least key."""
     named, _ = labelled(docs)
     best = named.groupBy("label").agg(F.min(F.struct(F.col("first_id").isNull().alias("no_id"), "first_id", "key")).alias("best"))
-    stay = kept(best.select(F.col("best.first_id").alias("__id"), F.col("best.key").alias("__key")), "kept-ids")
-    keyed = docs.withColumn("__own", text_key())
-    same = keyed["doc_id"].cast("long").eqNullSafe(stay["__id"]) & (keyed["__own"] == stay["__key"])
+    stay = kept(best.select(F.col("best.first_id").alias("id"), F.col("best.key").alias("key")), "kept-ids")
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("id"), text_key().alias("key"))
+    same = keyed["id"].eqNullSafe(stay["id"]) & (keyed["key"] == stay["key"])
     chosen = keyed.join(stay, same, "left_semi")
-    repeated = docs.select(F.col("doc_id").cast("long").alias("id"), text_key().alias("key")).groupBy("id", "key").count()
+    repeated = keyed.groupBy("id", "key").count()
     if not repeated.filter("count > 1").isEmpty():  # equal rows: one of them
-        chosen = chosen.dropDuplicates(["doc_id", "__own"])
-    return chosen.select(*docs.columns)
+        chosen = chosen.dropDuplicates(["id", "key"])
+    return chosen.select("row.*")

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import near_copies as near
 
@@ -148,3 +149,41 @@ def test_odd_rows(odd, empty):
         ("1", "one two three"), ("1", "other text"), ("2", "None"), ("4", "word0 line word1 lin"), ("5", "日本 é \n\n x  y"), ("None", "no key"),
     ]
     assert near.near_classes(empty).collect() == [] and near.one_of_each(empty).collect() == []
+
+
+def test_many_texts_that_share_most_make_no_pairs(docs, monkeypatch):
+    """Alike at about 0.74: pairs that are compared whole grow with the texts, not with their square."""
+    rng = random.Random(17)
+    words = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    passage = words(178)
+    rows = [(i, " ".join(passage + words(31))) for i in range(300)]
+    rows += [(1000, rows[7][1] + " end"), (1001, rows[290][1] + " end")]
+    assert 0.7 < alike(rows[0][1], rows[1][1]) < 0.78
+    made, inner = [], near._verified
+
+    def counted(pairs, texts):
+        made.append(pairs.count())
+        return inner(pairs, texts)
+
+    monkeypatch.setattr(near, "_verified", counted)
+    found = {r.doc_id: r.class_id for r in near.near_classes(docs(rows)).collect()}
+    assert found[1000] == 7 and found[1001] == 290 and len(set(found.values())) == 300
+    assert sum(made) < 20 * len(rows)
+
+
+def test_bags(planted):
+    texts = [t or "" for _, t in planted][:40] + ["a b c d e f a b c d e f a b c d e f", "a b c d e f a b c d e g"]
+    owner, element, count = near.shingles(texts)
+    bags = near.Bags([near.bag(element[owner == i], count[owner == i]) for i in range(len(texts))] + [None])
+    for i in range(len(texts)):
+        got = bags.likeness(i, np.arange(len(texts) + 1))
+        assert got[:-1] == pytest.approx([alike(texts[i], t) for t in texts]) and got[-1] == 1
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark, docs):
+    rows = docs([(1, "one two"), (2, "one two"), (None, "one two"), (3, "other")])
+    for name in ("__own", "__key", "__id", "id", "row", "with.dot"):
+        rows = rows.withColumn(name, F.lit(f"own {name}"))
+    left = near.one_of_each(rows)
+    assert left.columns == rows.columns
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3] and {r["__own"] for r in left.collect()} == {"own __own"}
