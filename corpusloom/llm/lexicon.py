@@ -4,8 +4,8 @@ A text's words are found as the vocabulary's file says: special tokens apart, wh
 space to single blanks, lower case, then contractions, runs of letters, single
 numbers and runs of other marks. Ids of a word depend on that word alone.
 
-Words are counted over all texts. Those that occur at least ``2**k`` times, with the
-least k for which they are at most ``MOST_WORDS``, are merged once and compiled
+Words are counted over all texts. Those that occur at least ``2**(k/4)`` times, with
+the least k for which they are at most ``MOST_WORDS``, are merged once and compiled
 into a transducer over their bytes. States that accept the same endings with the
 same ids are one state, so suffixes are shared; ids stand on the arcs, each as
 early as all words through that arc have it in common. The transducer is a flat
@@ -27,6 +27,8 @@ import heapq
 import json
 import os
 import re
+from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +41,15 @@ from corpusloom.llm.word_encoder import pc_quote
 from corpusloom.session import scratch_path
 
 MAGIC = 0x31584C4D4F4F4C43
-MOST_WORDS = 131_072
+MOST_WORDS = 262_144
 REMEMBERED = 300_000
 SHORT = 32
 END = "</w>"
 
 #: Letters whose case, form and kind are the same to Arrow and to the tokenizers library.
 PLAIN = r"\t\n\r -~\x{a1}-\x{12f}\x{131}-\x{17f}\x{2010}-\x{2027}\x{2030}-\x{205e}"
-#: Fixed value: the words of the vocabulary's file, with the white space after them.
-WORDS = r"('s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\s\pL\pN]+)\s*"
+#: Fixed value: the words of the vocabulary's file, in runs without white space.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\pL\pN]+"
 
 _KNOWN: dict = {}
 
@@ -61,6 +63,27 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+@dataclass
+class Chunks:
+    """Distinct words, and how runs without white space and texts consist of them.
+
+    Odd texts hold letters outside ``PLAIN`` or special tokens. Their words
+    stand apart, as (text, words and special ids).
+    """
+
+    distinct: pa.Array
+    words: np.ndarray  # numbers of the words of each distinct run in turn
+    word_ends: np.ndarray  # 0, and where each distinct run ends among them
+    runs: np.ndarray  # numbers of the runs of each text in turn
+    run_ends: np.ndarray  # 0, and where each text ends among them
+    odd: list[tuple[int, list]]
+
+    def counts(self) -> np.ndarray:
+        """How often each distinct word occurs, odd texts apart."""
+        each = np.bincount(self.runs, minlength=len(self.word_ends) - 1)
+        return np.bincount(self.words, weights=np.repeat(each, np.diff(self.word_ends)), minlength=len(self.distinct)).astype(np.int64)
+
+
 class Merges:
     """The vocabulary's merges by rank, and its words."""
 
@@ -73,8 +96,9 @@ class Merges:
         letters = byte_letters()
         self.inner = [ids[c] for c in letters]
         self.last = [ids[c + END] for c in letters]
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.ranks = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.made = [ids[a + b] for a, b in pairs]  # by rank
+        self.rank = {(ids[a], ids[b]): rank for rank, (a, b) in enumerate(pairs)}.get
         self.library = Tokenizer.from_file(path)
         size = self.library.get_vocab_size()
         self.tokens = pa.array([self.library.id_to_token(i) or "" for i in range(size)], pa.large_string())
@@ -97,41 +121,40 @@ class Merges:
         return found
 
     def short(self, parts: list[int]) -> list[int]:
-        ranks = self.ranks
-        while len(parts) > 1:
-            least = min(((r, i) for i, pair in enumerate(zip(parts, parts[1:])) if (r := ranks.get(pair))), default=None)
-            if least is None:
-                break
-            (_, made), i = least
-            parts[i : i + 2] = [made]
+        rank, never = self.rank, len(self.made)
+        ranks = [rank(pair, never) for pair in zip(parts, parts[1:])]
+        while ranks and (least := min(ranks)) < never:
+            i = ranks.index(least)
+            parts[i : i + 2] = [self.made[least]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), never)
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), never)
         return parts
 
     def long(self, parts: list[int]) -> list[int]:
         """The same with a queue of pairs, for words of any length."""
         size = len(parts)
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        queue = [(*found, i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (found := self.ranks.get((a, b)))]
+        queue = [(found, i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (found := self.rank((a, b))) is not None]
         heapq.heapify(queue)
         while queue:
-            _, made, i, a, b = heapq.heappop(queue)
+            least, i, a, b = heapq.heappop(queue)
             j = after[i]
             if parts[i] != a or j >= size or parts[j] != b:
                 continue  # one of the two has been merged since
-            parts[i], parts[j] = made, -1
+            parts[i], parts[j] = self.made[least], -1
             after[i] = after[j]
             if after[j] < size:
                 before[after[j]] = i
             for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < size and (found := self.ranks.get((parts[left], parts[right]))):
-                    heapq.heappush(queue, (*found, left, parts[left], parts[right]))
+                if left >= 0 and right < size and (found := self.rank((parts[left], parts[right]))) is not None:
+                    heapq.heappush(queue, (found, left, parts[left], parts[right]))
         return [p for p in parts if p >= 0]
 
-    def words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, list[tuple[int, list]]]:
-        """(words of all texts in turn, where each text's end, (text, its words and special ids) of odd texts).
-
-        Odd texts hold letters outside ``PLAIN`` or special tokens; the library
-        itself finds their words, which are not among the others.
-        """
+    def chunks(self, texts: pa.Array) -> "Chunks":
+        """The texts as runs without white space; words never reach over its ends, so each distinct run is cut up once."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = np.flatnonzero(np.asarray(pc.match_substring_regex(texts, self.odd)))
         plain = texts
@@ -139,12 +162,19 @@ class Merges:
             mask = np.zeros(len(texts), dtype=bool)
             mask[odd] = True
             plain = pc.if_else(pa.array(mask), "", texts)
-        marked = pc.replace_substring_regex(pc.utf8_ltrim_whitespace(pc.utf8_lower(plain)), WORDS, "\\1\n")
-        lists = pc.split_pattern(marked, "\n")  # with an empty word at the end of each text
+        lists = pc.ascii_split_whitespace(pc.utf8_lower(plain))
         ends = np.asarray(lists.offsets)
-        return lists.values.slice(ends[0], ends[-1] - ends[0]), ends[1:] - ends[0], [(int(i), self.odd_words(texts[i].as_py())) for i in odd]
+        runs = lists.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
+        parts = pc.split_pattern(pc.replace_substring_regex(runs.dictionary, WORDS, "\\0\n"), "\n")  # the last one is empty
+        stops = np.asarray(parts.offsets)
+        words = parts.values.slice(stops[0], stops[-1] - stops[0]).dictionary_encode()
+        return Chunks(
+            words.dictionary.cast(pa.large_binary()), np.asarray(words.indices), stops - stops[0], np.asarray(runs.indices), ends - ends[0],
+            [(int(i), self.odd_words(texts[i].as_py())) for i in odd],
+        )
 
     def odd_words(self, text: str) -> list:
+        """Words and special ids of a text, found by the library itself."""
         out: list = []
         for part in self.cut.split(text):
             if part in self.special:
@@ -291,27 +321,31 @@ def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
+def joined(pool: np.ndarray, begins: np.ndarray, sizes: np.ndarray, which: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(parts of the pool in the order of ``which``, where each group of them ends; ``ends`` begins with 0)."""
+    each = sizes[which]
+    return pool[_ranges(begins[which], each)], np.concatenate([[0], np.cumsum(each)])[ends]
+
+
 def encoded(words: Merges, transducer: Transducer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in turn, where each text's end)."""
-    every, ends, odd = words.words(texts)
-    numbered = every.dictionary_encode()
-    distinct = numbered.dictionary.cast(pa.large_binary())
+    chunks = words.chunks(texts)
+    distinct = chunks.distinct
     offsets = np.frombuffer(distinct.buffers()[1], dtype=np.int64)[distinct.offset : distinct.offset + len(distinct) + 1]
     data = np.frombuffer(distinct.buffers()[2] or b"", dtype=np.uint8)
-    known, counts, ids = transducer.ids(data, offsets[:-1], offsets[1:])
-    new = [words.ids(distinct[i].as_py()) for i in np.flatnonzero(~known).tolist()]
-    begins = np.cumsum(counts) - counts
-    counts[~known] = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
-    begins[~known] = len(ids) + np.cumsum(counts[~known]) - counts[~known]
+    known, sizes, ids = transducer.ids(data, offsets[:-1], offsets[1:])
+    unseen = np.flatnonzero(~known)
+    new = [words.ids(w) for w in distinct.take(pa.array(unseen)).to_pylist()]
+    begins = np.cumsum(sizes) - sizes
+    sizes[unseen] = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
+    begins[unseen] = len(ids) + np.cumsum(sizes[unseen]) - sizes[unseen]
     pool = np.concatenate([ids, np.array([i for own in new for i in own], dtype=np.uint32)])
-    codes = np.asarray(numbered.indices)
-    each = counts[codes]
-    flat = pool[_ranges(begins[codes], each)]
-    stops = np.concatenate([[0], np.cumsum(each)])[ends]
-    if not odd:
-        return flat, stops
-    parts = np.split(flat, stops[:-1])
-    for i, found in odd:
+    of_runs, stops = joined(pool, begins, sizes, chunks.words, chunks.word_ends)
+    flat, stops = joined(of_runs, stops[:-1], np.diff(stops), chunks.runs, chunks.run_ends)
+    if not chunks.odd:
+        return flat, stops[1:]
+    parts = np.split(flat, stops[1:-1])
+    for i, found in chunks.odd:
         parts[i] = np.array([x for w in found for x in ((w,) if isinstance(w, int) else words.ids(w))], dtype=np.uint32)
     return np.concatenate(parts), np.cumsum([len(p) for p in parts])
 
@@ -328,24 +362,25 @@ def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches):
         words = merges(vocabulary)
         for batch in slices(batches):
-            every, _, odd = words.words(batch.column("text"))
-            parts = [every.cast(pa.large_binary()), pa.array([w for _, own in odd for w in own if isinstance(w, bytes)], pa.large_binary())]
-            counts = pa.chunked_array(parts).value_counts()
-            yield pa.RecordBatch.from_arrays([counts.field("values").cast(pa.binary()), counts.field("counts")], ["word", "n"])
+            chunks = words.chunks(batch.column("text"))
+            odd = Counter(w for _, own in chunks.odd for w in own if isinstance(w, bytes))
+            yield pa.RecordBatch.from_arrays([chunks.distinct.cast(pa.binary()), pa.array(chunks.counts())], ["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(odd), pa.binary()), pa.array(list(odd.values()), pa.int64())], ["word", "n"])
 
     made = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long")
     return made.filter("length(word) > 0").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def frequent(counts: DataFrame, most: int = MOST_WORDS) -> DataFrame:
-    """The words with at least ``2**k`` occurrences, k the least for which they are at most ``most``."""
-    powers = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).count().collect()  # at most 64 rows
-    least, room = 64, most
+    """The words with at least ``2**(k/4)`` occurrences, k the least for which they are at most ``most``."""
+    power = F.floor(4 * F.log2("n")).cast("int")
+    powers = counts.groupBy(power.alias("power")).count().collect()  # at most 256 rows
+    least, room = 256, most
     for row in sorted(powers, key=lambda r: -r.power):
         if row["count"] > room:
             break
         least, room = row.power, room - row["count"]
-    return counts.filter(F.col("n") >= F.lit(2.0**least))
+    return counts.filter(power >= least)
 
 
 def lexicon(docs: DataFrame, vocabulary: str, most: int = MOST_WORDS) -> bytes:
