@@ -114,7 +114,7 @@ def backlog_claim(spark, folder):
     for row in claimed.select("year_month").distinct().collect():  # twelve months
         backlog.save_version(paths, root, row.year_month)
         backlog.save_version(claimed, root, row.year_month)
-    return backlog.latest(spark, root)
+    return backlog.latest(spark, root).select("year_month", "file_path", "job_id")
 
 
 @query("J8_claimed_by_job")
