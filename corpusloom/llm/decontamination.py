@@ -3,10 +3,8 @@
 An item leaks into a text if some part of the text is within a fifth of the
 item's length of it in edit distance, both in lower case with single blanks.
 
-Candidates: in texts and items alike, words whose first letters have a hash
-divisible by ``EVERY`` begin a window of the item's size; the words of an item with
-few of these begin windows everywhere. A window is embedded by a CGK random
-walk: at every step the letter under the pointer is written down, and a random
+Candidates: in texts and items alike every word begins a window, the part of an
+item from there to its end. A window is embedded by a CGK random walk: at every step the letter under the pointer is written down, and a random
 bit of the step and the letter says whether the pointer moves on. Walks over
 strings a few edits apart fall into step again soon after each edit, so their
 outputs are near in Hamming distance. Each of ``TABLES`` tables has a walk of
@@ -16,8 +14,9 @@ a window is dropped at the first that no item continues, so few windows are
 walked far. Items too short for all samples are met by those they have.
 
 The search is to find 0.95 of the items at the full distance, a fifth of the
-item; the tests measure it there. So every word begins a window (``EVERY`` is 1)
-and there are ``TABLES`` tables; with fewer of either, distant items are lost.
+item; the tests measure it there. So every word begins a window and there are
+``TABLES`` tables; with fewer of either, distant items are lost. A walk ends after
+``STEPS`` steps: over a whole item a fifth apart no walk stays in step.
 Every candidate is then compared exactly, by the bit-parallel edit distance of
 the whole item to the best part of the text around the window.
 
@@ -35,16 +34,13 @@ from pyspark.sql import DataFrame, functions as F
 from corpusloom.llm.common import mixed, slices, strings
 
 SHARE = 0.2
-STEPS = 64
-SAMPLES = 12
-TABLES = 16
-EVERY = 1
-LEAST_WINDOWS = 4
-START_BITS = 16
+STEPS = 40
+SAMPLES = 18
+TABLES = 6
 SLICE = 2_000_000
-LANES = 65_536
+LANES = 16_384
 ITEM_BYTES = 32_000_000
-FILTER_BITS = 20
+FILTER_SPREAD = 16  # bits of a filter for each window
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -93,7 +89,7 @@ class Table:
 
     bits: np.ndarray  # of each step and letter
     steps: list[int]
-    alive: list[np.ndarray]  # after each sample: may an item have these letters
+    alive: list[np.ndarray]  # after each sample: bits of keys that an item may have
     ended: list[np.ndarray]  # after each sample: keys of windows that have no more samples
     where: list[np.ndarray]  # the window of each of these keys
 
@@ -106,24 +102,16 @@ class Index:
     items: list[str]
     item: np.ndarray  # of each window
     offset: np.ndarray  # bytes of the item before the window
-    begins: np.ndarray  # of each hash of a word's first letters: does it begin a window
+    bits: int  # of a filter's addresses
     tables: list[Table]
 
 
 def _starts(letters: np.ndarray) -> np.ndarray:
-    """Places of the first letters of words; blanks and line feeds separate words."""
+    """Places of the first letters of words; blanks and line feeds separate words, and so does every letter from U+3000 on."""
     gap = (letters == 32) | (letters == 10)
     first = ~gap
     first[1:] &= gap[:-1]
-    return np.flatnonzero(first)
-
-
-def _first_letters(letters: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Hash of the first three bytes of each word; a shorter word has a blank after it."""
-    code = np.zeros(len(starts), dtype=np.uint64)
-    for k in range(3):
-        code = (code << np.uint64(8)) | letters.take(starts + k, mode="clip").astype(np.uint64)
-    return mixed(code * MIX) >> np.uint64(64 - START_BITS)
+    return np.flatnonzero(first | (letters >= 0xE3))
 
 
 def _step(key: np.ndarray, letter: np.ndarray) -> np.ndarray:
@@ -133,19 +121,11 @@ def _step(key: np.ndarray, letter: np.ndarray) -> np.ndarray:
 def build(ids: list, texts: list[str | None]) -> Index:
     kept = [(i, plain(t)) for i, t in zip(ids, texts) if plain(t)]
     items = [t for _, t in kept]
-    begins = np.arange(1 << START_BITS) % EVERY == 0
     coded = [np.frombuffer((t + " ").encode("utf-8", "surrogatepass"), dtype=np.uint8) for t in items]
-    usable = []
-    for data in coded:
-        starts = _starts(data)
-        starts = starts[starts <= max(0, len(data) - 1 - STEPS // 2)]
-        heads = _first_letters(data, starts)
-        usable.append((starts, heads))
-        if begins[heads].sum() < LEAST_WINDOWS:
-            begins[heads[:: max(1, len(heads) // LEAST_WINDOWS)]] = True
     item, offset, parts, size, base = [], [], [], 0, []
-    for number, (data, (starts, heads)) in enumerate(zip(coded, usable)):
-        chosen = starts[begins[heads]]
+    for number, data in enumerate(coded):
+        chosen = _starts(data)
+        chosen = chosen[chosen <= max(0, len(data) - 1 - STEPS // 2)]
         item += [number] * len(chosen)
         offset += chosen.tolist()
         base += (chosen + size).tolist()
@@ -153,6 +133,7 @@ def build(ids: list, texts: list[str | None]) -> Index:
         size += len(data)
     letters = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint8)
     base = np.array(base, dtype=np.int64)
+    bits_ = max(10, (FILTER_SPREAD * len(base)).bit_length())
     tables = []
     for number in range(TABLES):
         random = np.random.default_rng([number, 20])
@@ -171,15 +152,15 @@ def build(ids: list, texts: list[str | None]) -> Index:
                     ended[-1], where[-1] = _sorted(np.append(ended[-1], key[over]), np.append(where[-1], own[over]))
                     place, key, own, letter = place[~over], key[~over], own[~over], letter[~over]
                 key = _step(key, letter)
-                may = np.zeros(1 << FILTER_BITS, dtype=bool)
-                may[key >> np.uint64(64 - FILTER_BITS)] = True
-                alive.append(may)
+                may = np.zeros(1 << bits_, dtype=np.uint8)
+                may[key >> np.uint64(64 - bits_)] = 1
+                alive.append(np.packbits(may, bitorder="little"))
                 ended.append(np.zeros(0, dtype=np.uint64))
                 where.append(np.zeros(0, dtype=np.int64))
             place = place + bits[step][letter]
         ended[-1], where[-1] = _sorted(key, own)
         tables.append(Table(bits, steps, alive, ended, where))
-    return Index([i for i, _ in kept], items, np.array(item, dtype=np.int64), np.array(offset, dtype=np.int64), begins, tables)
+    return Index([i for i, _ in kept], items, np.array(item, dtype=np.int64), np.array(offset, dtype=np.int64), bits_, tables)
 
 
 def _sorted(key, own):
@@ -187,9 +168,10 @@ def _sorted(key, own):
     return key[order], own[order]
 
 
-def _hits(table: Table, letters: np.ndarray, starts: np.ndarray):
+def _hits(table: Table, filter_bits: int, letters: np.ndarray, starts: np.ndarray):
     """(place, window) of agreements between windows at ``starts`` and items' windows."""
     out = []
+    shift = np.uint64(64 - filter_bits)
     for low in range(0, len(starts), LANES):
         begin = starts[low : low + LANES]
         place, key = begin.copy(), np.zeros(len(begin), dtype=np.uint64)
@@ -200,7 +182,8 @@ def _hits(table: Table, letters: np.ndarray, starts: np.ndarray):
             letter = letters.take(place, mode="clip")
             if step == table.steps[sample]:
                 key = _step(key, letter)
-                near = table.alive[sample][key >> np.uint64(64 - FILTER_BITS)]
+                address = key >> shift
+                near = (table.alive[sample][address >> np.uint64(3)] >> (address & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
                 begin, place, key, letter = begin[near], place[near], key[near], letter[near]
                 keys = table.ended[sample]
                 if len(keys) and len(key):
@@ -223,8 +206,7 @@ def leaks(index: Index, texts: list[str | None]) -> list[dict[int, int]]:
     letters = np.frombuffer(data, dtype=np.uint8)
     ends = np.flatnonzero(letters == 10)
     starts = _starts(letters)
-    starts = starts[index.begins[_first_letters(letters, starts)]]
-    hits = [h for table in index.tables for h in _hits(table, letters, starts)]
+    hits = [h for table in index.tables for h in _hits(table, index.bits, letters, starts)]
     if not hits:
         return found
     place, window = (np.concatenate(parts) for parts in zip(*hits))
@@ -237,9 +219,12 @@ def leaks(index: Index, texts: list[str | None]) -> list[dict[int, int]]:
         if found[own].get(number, limit + 1) == 0:
             continue
         size = len(text.encode("utf-8", "surrogatepass"))
-        first = int(ends[own - 1]) + 1 if own else 0
-        low = max(first, begin - 2 * limit - 8)
-        high = min(int(ends[own]), begin + 16 + size + 2 * limit + 8)
+        first, last = int(ends[own - 1]) + 1 if own else 0, int(ends[own])
+        for most in (4, 1):  # bytes of a letter; one is enough where all letters around have one
+            slack = (most + 1) * limit + 8
+            low, high = max(first, begin - slack), min(last, begin + 16 + size + slack)
+            if not data[low:high].isascii():
+                break
         distance = distance_within(text, data[low:high].decode("utf-8", "ignore"))
         if distance <= limit:
             found[own][number] = min(distance, found[own].get(number, distance))

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from corpusloom.llm import decontamination as leaks
@@ -65,6 +66,39 @@ def test_recall_at_the_full_distance(spark):
     assert len(own) > 200 and sum(i in f for i, f in zip(own, found)) >= 0.95 * len(own)
 
 
+CYRILLIC = {ord(a): chr(0x430 + i) for i, a in enumerate("abcdefghijklmnopqrstuvwxyz")}
+HAN = {ord(a): chr(0x4E00 + 31 * i) for i, a in enumerate("abcdefghijklmnopqrstuvwxyz")}
+
+
+@pytest.mark.parametrize("letters", [CYRILLIC, HAN])
+def test_recall_with_letters_of_several_bytes(spark, letters):
+    rng = random.Random(4)
+    items = [leaks.plain(r.text).translate(letters) for r in spark.read.parquet(f"{MEDIUM}/benchmark.parquet").orderBy("item_id").limit(60).collect()]
+    if letters is HAN:
+        items = [t.replace(" ", "") for t in items]
+    index = leaks.build(list(range(len(items))), items)
+    texts, own = [], []
+    for rate in (0.18, 0.2, 0.22):
+        for i, item in enumerate(items):
+            text = edited(item, rate, rng).translate(letters)
+            if 0.15 * len(item) <= leaks.distance_within(item, leaks.plain(text)) <= leaks.allowed(item):
+                texts.append(f"{items[i - 1]} {text} {items[i - 2]}")
+                own.append(i)
+    found = leaks.leaks(index, texts)
+    assert len(own) > 60 and sum(i in f for i, f in zip(own, found)) >= 0.95 * len(own)
+
+
+def test_letters_put_in_at_one_place():
+    """Slack is counted in letters: 45 letters of three bytes each stand within the item."""
+    rng = random.Random(1)
+    words = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(3)) for _ in range(60)]
+    item = " ".join(words)
+    for at in (10, 30, 50):
+        text = " ".join(words[:at]) + " " + "書" * 44 + " " + " ".join(words[at:])
+        assert leaks.leaks(leaks.build([1], [item]), [f"前 {text} 後"]) == [{0: leaks.distance_within(item, text)}]
+        assert leaks.distance_within(item, text) > 35 and leaks.allowed(item) == 47
+
+
 def test_query_against_every_pair(spark, docs, tmp_path):
     rng = random.Random(5)
     folder = "/root/testdata/sf0.001"
