@@ -10,11 +10,24 @@ Record ids are made from a hash of the source record and the kind, so a retried
 task writes the same ids, and equal source rows give equal records. A null url
 or page is the empty one; a page without text has an empty conversion. Line
 ends inside blocks are line feeds, so the separator between records, which has
-carriage returns, never occurs inside one.
+carriage returns, never occurs inside one. Columns of pages other than
+``page_id``, ``url`` and ``html`` are not read; an empty table gives no records.
+
+A page is read once from left to right, in time proportional to its length. A
+tag goes from ``<`` and a letter or one of ``/!?`` to the first ``>``; without
+one it is text. An element whose text is not shown ends at the first closing tag
+of its own name; if there is none, only its opening tag is left out. A comment
+that is not closed is a tag. A head ends at its closing tag, or where something
+begins that cannot be in a head.
 """
 
+import hashlib
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from corpusloom.llm.common import slices, strings
 from corpusloom.session import scratch_path
 
 VERSION = "WARC/1.0\r\n"
@@ -24,28 +37,109 @@ HEADERS = ["WARC-Type", "WARC-Record-ID", "WARC-Refers-To", "WARC-Refers-To-Dige
 
 #: Entities and what they stand for; the ampersand last.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-BLOCK_TAGS = "p|div|br|li|ul|ol|h1|h2|h3|h4|h5|h6|tr|table|article|section|nav|header|footer|title|body"
+BLOCK_TAGS = frozenset("p div br li ul ol h1 h2 h3 h4 h5 h6 tr table article section nav header footer title body".split())
+HIDDEN_TAGS = frozenset("script style noscript template".split())
+HEAD_TAGS = HIDDEN_TAGS | frozenset("head title meta link base".split())
+
+NAME = re.compile(r"/?([A-Za-z][A-Za-z0-9]*)")
+CLOSING = re.compile(r"</(script|style|noscript|template|title)\s*>", re.IGNORECASE)
+LANGUAGE = re.compile(r"""(?:^|[\s"'])lang\s*=\s*["']?([A-Za-z-]+)""", re.IGNORECASE)
+TARGET = re.compile(r"""(?:^|[\s"'])href\s*=\s*(?:"([^"]*)|'([^']*)|([^\s"']+))""", re.IGNORECASE)
+BLANKS = re.compile(r"[\t\r\n\f ]+")
 
 
 def digest(value: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(value.cast("binary"), 256))
 
 
-def unescaped(text: Column) -> Column:
-    for entity, letter in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(letter))
-    return text
-
-
-def plain_text(html: Column) -> Column:
-    """Text of a page: no scripts, styles, comments or tags; a line for each block, single blanks."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"(?is)<(script|style|noscript|template|head)\b[^>]*>.*?</(script|style|noscript|template|head)\s*>", " ")
-    text = F.regexp_replace(text, r"[\t\r\n\f ]+", " ")
-    text = F.regexp_replace(text, rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\n")
-    text = unescaped(F.regexp_replace(text, r"<[^>]*>", ""))
-    text = F.regexp_replace(text, r"[\t\r ]+", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), r"^\n|\n$", ""))
+def bare_line(text: str) -> str:
+    """The text with entities resolved, on one line, with single blanks."""
+    if "&" in text:
+        for entity, letter in ENTITIES:
+            text = text.replace(entity, letter)
+    return BLANKS.sub(" ", text).strip(" ")
+
+
+class Closings:
+    """Where closing tags of a name are in a page: looked up with rising places, all found in one pass."""
+
+    def __init__(self, html: str):
+        self.html, self.places = html, None
+
+    def after(self, name: str, place: int):
+        """(begin, end) of the next closing tag, or None."""
+        if self.places is None:
+            self.places = {}
+            for found in CLOSING.finditer(self.html):
+                self.places.setdefault(found[1].lower(), []).append(found.span())
+            for spans in self.places.values():
+                spans.reverse()
+        spans = self.places.get(name, [])
+        while spans and spans[-1][0] < place:
+            spans.pop()
+        return spans[-1] if spans else None
+
+
+def page_parts(html: str) -> tuple[str, str, list[str], str]:
+    """(title, language, targets of links, plain text) of a page.
+
+    The plain text has no scripts, styles, comments or tags, a line for each
+    block, and single blanks.
+    """
+    title, language, targets, lines, line = None, "", [], [], []
+    closings, comments, head, at = Closings(html), True, False, 0
+    while True:
+        low = html.find("<", at)
+        high = html.find(">", low) if low >= 0 else -1
+        if high < 0:
+            line.append(html[at:])
+            break
+        if head and not html[at:low].isspace() and at < low:
+            head = False
+        if not head:
+            line.append(html[at:low])
+        at = high + 1
+        if comments and html.startswith("<!--", low):
+            end = html.find("-->", low + 4)
+            comments = end >= 0
+            if comments:
+                line.append(" ")
+                at = end + 3
+            continue
+        found = NAME.match(html, low + 1, high)
+        if found is None:
+            if html[low + 1] not in "/!?":
+                line.append("<")
+                at = low + 1
+            continue
+        name, opens = found[1].lower(), html[low + 1] != "/"
+        if head and name not in HEAD_TAGS:
+            head = False
+        if name == "head":
+            head = opens
+            line.append(" ")
+        elif opens and name in HIDDEN_TAGS:
+            close = closings.after(name, at)
+            if close is not None:
+                line.append(" ")
+                at = close[1]
+        elif opens and name == "title" and (head or title is None):
+            close = closings.after(name, at)
+            if close is not None:
+                title = bare_line(html[at : close[0]]) if title is None else title
+                at = close[1] if head else at
+        elif opens and name == "a":
+            target = TARGET.search(html, found.end(), high)
+            if target:
+                targets.append(BLANKS.sub(" ", target[1] or target[2] or target[3] or "").strip(" "))
+        elif opens and name == "html" and not language:
+            named = LANGUAGE.search(html, found.end(), high)
+            language = named[1] if named else ""
+        if name in BLOCK_TAGS and not head:
+            lines.append("".join(line))
+            line = []
+    lines.append("".join(line))
+    return title or "", language, targets, "\n".join(filter(None, map(bare_line, lines)))
 
 
 def one_line(text: Column) -> Column:
@@ -66,22 +160,31 @@ def responses(pages: DataFrame) -> DataFrame:
 
 def derived(records: DataFrame) -> DataFrame:
     """(source_key, record_type, record_id, refers_to, refers_to_digest, target_uri, date, content_type, block)."""
-    payload = F.col("payload")
-    title = unescaped(one_line(F.regexp_extract(payload, r"(?is)<title\b[^>]*>(.*?)</title", 1)))
-    language = F.regexp_extract(payload, r"(?is)<html\b[^>]*\blang=[\"']?([A-Za-z-]+)", 1)
-    targets = F.transform(F.regexp_extract_all(payload, F.lit(r"(?is)<a\b[^>]*\bhref=[\"']([^\"']*)"), F.lit(1)), one_line)
-    lines = F.concat(
-        F.lit("title: "), title, F.lit("\nlanguage: "), language, F.lit("\npayload-digest: "), F.col("payload_digest"),
-        F.array_join(F.transform(F.split("headers", "\n"), lambda h: F.concat(F.lit("\nsource-header: "), one_line(h))), ""),
-        F.array_join(F.transform(targets, lambda t: F.concat(F.lit("\nlink: "), t)), ""), F.lit("\n"),
+
+    def run(batches):
+        for batch in slices(batches, "payload"):
+            digests, metadata, conversions = [], [], []
+            for html, headers in zip(strings(batch.column("payload")), strings(batch.column("headers"))):
+                title, language, targets, text = page_parts(html)
+                digests.append("sha256:" + hashlib.sha256(html.encode()).hexdigest())
+                fields = [f"title: {title}", f"language: {language}", f"payload-digest: {digests[-1]}"]
+                fields += [f"source-header: {BLANKS.sub(' ', h).strip(' ')}" for h in headers.split("\n")]
+                metadata.append("\n".join([*fields, *(f"link: {t}" for t in targets), ""]))
+                conversions.append(text)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in same), *(pa.array(c, pa.string()) for c in (digests, metadata, conversions))],
+                [*same, "payload_digest", "metadata", "conversion"],
+            )
+
+    same = ["source_key", "record_id", "target_uri", "date"]
+    made = records.select(*same, "headers", "payload").mapInArrow(
+        run, "source_key long, record_id string, target_uri string, date string, payload_digest string, metadata string, conversion string"
     )
     kinds = F.array(
-        F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"), lines.alias("block")),
-        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain").alias("content_type"), plain_text(payload).alias("block")),
-    )
-    made = records.withColumn("payload_digest", digest(payload)).select(
-        "source_key", F.col("record_id").alias("source_id"), "payload_digest", "target_uri", "date", F.inline(kinds)
+        F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"), F.col("metadata").alias("block")),
+        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain").alias("content_type"), F.col("conversion").alias("block")),
     )
+    made = made.select("source_key", F.col("record_id").alias("source_id"), "payload_digest", "target_uri", "date", F.inline(kinds))
     return made.select(
         "source_key", "record_type", F.md5(F.concat_ws(" ", "source_id", "record_type")).alias("record_id"),
         F.col("source_id").alias("refers_to"), F.col("payload_digest").alias("refers_to_digest"), "target_uri", "date", "content_type", "block",

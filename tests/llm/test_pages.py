@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -76,3 +77,35 @@ def test_derivatives_of_whole_pages(spark):
             for entity, letter in derivatives.ENTITIES:
                 words = words.replace(entity, letter)
             assert "".join(r.block.split()) == "".join(words.split())
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<html><head><title>T</title><p>kept text</p><script>x</script>more", "kept text\nmore"),
+        ("<head><title>T</title>kept <b>text</b>", "kept text"),
+        ("<head><title>T</title><style>a</style><script>'</head>'</script></head>body", "body"),
+        ("<script>if (a < b) {}</script>a<SCRIPT>x</Script >b<style>never closed", "a b never closed".replace(" n", "n")),
+        ("a <!-- b --> c <!-- d > e", "a c e"),
+        ("1 < 2 and 3 &lt; 4 <b>x</b> y < z", "1 < 2 and 3 < 4 x y < z"),
+        ("a<b", "a<b"), ("<", "<"), (">", ">"), ("<>", "<>"), ("a<br/>b<BR>c</p >d", "a\nb\nc\nd"),
+        ("&amp;lt; &nbsp; x", "&lt; x"), ("日<i>本</i>", "日本"), ("", ""),
+    ],
+)
+def test_plain_text(html, text):
+    assert derivatives.page_parts(html)[3] == text
+
+
+def test_fields_of_a_page():
+    title, language, targets, _ = derivatives.page_parts(
+        "<HTML class=x lang='pt-BR'><title>a &amp; <b>b</title><title>c</title><a class=y href=z>1</a><a data-href='n'>2</a><a href='q\r\nr'>3</a><A HREF=\"\">"
+    )
+    assert (title, language, targets) == ("a & <b>b", "pt-BR", ["z", "q r", ""])
+
+
+@pytest.mark.parametrize("piece", ["<!--", "<script>", "<head>", "<", "<a href='", "</script", "</script" + " " * 50, "<title>", "&amp;", "<p>", "<!-- <script> -->"])
+def test_time_grows_with_the_page(piece):
+    begun = time.time()
+    derivatives.page_parts(piece * 100_000)
+    derivatives.page_parts(piece * 100_000 + ">")
+    assert time.time() - begun < 20
