@@ -33,10 +33,13 @@ CHECKPOINT = 512
 BLOCK_TOKENS = 262_144
 BUCKET_TOKENS = 1_000_000
 MOST_BUCKETS = 10_000
+#: Bytes of text, and of ids, that are worked on at once; a longer text comes alone.
+TEXT_BYTES = 12_000_000
+ID_BYTES = 2_000_000
 
 
 def tokenized(docs: DataFrame, vocabulary: str, keeps_spaces: bool = True, end_id: int = 0) -> DataFrame:
-    """(doc_id, n_tokens, ids_crc32, ids): packed ids of each whole text and the end id.
+    """(doc_id, n_tokens, ids): packed ids of each whole text and the end id.
 
     Ids are little-endian, two bytes each where the vocabulary allows, else four.
     """
@@ -44,23 +47,16 @@ def tokenized(docs: DataFrame, vocabulary: str, keeps_spaces: bool = True, end_i
     def run(batches):
         words = encoder(vocabulary, keeps_spaces)
         size, end = words.kind.itemsize, np.array([end_id], dtype=words.kind).tobytes()
-        for batch in slices(batches):
+        for batch in slices(batches, limit=TEXT_BYTES):
             ids, counts = words.encode(batch.column("text"))
             ends = np.cumsum(counts) * size
             data = ids.tobytes()
             packed = [data[a:b] + end for a, b in zip((ends - counts * size).tolist(), ends.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(counts + 1, pa.int64()),
-                    pa.array([crc32(np.frombuffer(p, dtype=words.kind)) for p in packed], pa.int64()),
-                    pa.array(packed, pa.binary()),
-                ],
-                ["doc_id", "n_tokens", "ids_crc32", "ids"],
-            )
+            columns = [batch.column("doc_id"), pa.array(counts + 1, pa.int64()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids"])
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return chosen.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, ids binary")
+    return chosen.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
 def crc32(ids: np.ndarray) -> int:
@@ -73,14 +69,10 @@ def id_counts(tokens: DataFrame, size: int) -> dict[int, int]:
 
     def run(batches):
         counts = np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            for packed in batch.column(0):
-                ids = np.frombuffer(packed.as_buffer(), dtype=f"<u{size}")
-                if len(ids) > 0:
-                    more = np.bincount(ids)
-                    if len(more) > len(counts):
-                        counts = np.concatenate([counts, np.zeros(len(more) - len(counts), dtype=np.int64)])
-                    counts[: len(more)] += more
+        for batch in slices(batches, "ids", ID_BYTES):
+            more = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype=f"<u{size}"), minlength=len(counts))
+            more[: len(counts)] += counts
+            counts = more
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["id", "n"])
 
@@ -236,7 +228,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, keeps_spaces: bool = True
 
     def coded(batches):
         lengths, codes, bounds = shared.value
-        for batch in slices(batches, "ids", 2_000_000):
+        for batch in slices(batches, "ids", ID_BYTES):
             packed = batch.column("ids").to_pylist()
             counts = np.array([len(p) for p in packed], dtype=np.int64) // size
             ids = np.frombuffer(b"".join(packed), dtype=f"<u{size}")
@@ -248,7 +240,6 @@ def write(docs: DataFrame, path: str, vocabulary: str, keeps_spaces: bool = True
                 [
                     pa.array(bucket, pa.int32()),
                     batch.column("doc_id"),
-                    batch.column("ids_crc32"),
                     pa.array(counts, pa.int64()),
                     pa.array([payload[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist())], pa.binary()),
                     pa.array(
@@ -256,7 +247,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, keeps_spaces: bool = True
                         pa.binary(),
                     ),
                 ],
-                ["bucket", "doc_id", "ids_crc32", "n_tokens", "code", "marks"],
+                ["bucket", "doc_id", "n_tokens", "code", "marks"],
             )
 
     def blocks(batches):
@@ -289,11 +280,11 @@ def write(docs: DataFrame, path: str, vocabulary: str, keeps_spaces: bool = True
         if rows:
             yield finished()
 
-    schema = "bucket int, doc_id long, ids_crc32 long, n_tokens long, code binary, marks binary"
+    schema = "bucket int, doc_id long, n_tokens long, code binary, marks binary"
     ordered = (
         tokens.mapInArrow(coded, schema)
         .repartition(buckets, "bucket")
-        .sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "n_tokens", "ids_crc32")
+        .sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "n_tokens", "code")
     )
     made = ordered.mapInArrow(blocks, "bucket int, block int, n_tokens long, data binary")
     made.write.option("compression", "none").parquet(f"{path}/blocks")

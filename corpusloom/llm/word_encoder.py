@@ -18,7 +18,7 @@ MARK = "\x01"
 SPACES = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 PUNCTUATION = string.punctuation.replace("'", "")
 ENDS_IN_LETTER = "[A-Za-z0-9À-ÖØ-öø-ɏ]$"
-CACHED_WORDS = 350_000
+CACHED_WORDS = 700_000
 
 _ENCODERS: dict = {}
 
@@ -104,21 +104,15 @@ class WordEncoder:
         ends = np.asarray(lists.offsets)
         numbered = lists.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
         codes = np.asarray(numbered.indices)
-        packed = self.units(numbered.dictionary)
-        size = self.kind.itemsize
-        flat = np.frombuffer(b"".join(packed), dtype=self.kind)
-        lengths = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // size
-        begins = np.cumsum(lengths) - lengths
-        each = lengths[codes]
+        ids, each = gathered(*self.units(numbered.dictionary), codes)
         before = np.concatenate([[0], np.cumsum(each)])
-        ids = flat[np.repeat(begins[codes] - before[:-1], each) + np.arange(before[-1])]
         counts = np.diff(before[ends - ends[0]])
         if pc.any(whole).as_py():
             return self.with_whole(texts, np.asarray(whole), ids, counts)
         return ids, counts
 
-    def units(self, units: pa.Array) -> list[bytes]:
-        """Packed ids of distinct pieces of texts between blanks."""
+    def units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in turn, number of ids) of distinct pieces of texts between blanks."""
         stems = pc.utf8_rtrim(units, PUNCTUATION)
         cut = np.asarray(pc.binary_length(stems), dtype=np.int64)
         full = np.asarray(pc.binary_length(units), dtype=np.int64)
@@ -135,9 +129,12 @@ class WordEncoder:
         marks = [bytes(int(c).to_bytes(4, "big").lstrip(b"\0")).decode() for c in codes]
         tail_ids = [np.array(self.library(m) if m else [], dtype=self.kind).tobytes() for m in marks]
         numbered = stems.dictionary_encode()
-        stem_ids = self.stems(numbered.dictionary.to_pylist())
-        at = np.asarray(numbered.indices).tolist()
-        return [stem_ids[i] + tail_ids[j] for i, j in zip(at, which.tolist())]
+        stem_ids = self.stems(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        parts = np.stack([np.asarray(numbered.indices, dtype=np.int64), len(stem_ids) + which.reshape(-1)], axis=1)
+        pieces = stem_ids + tail_ids
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // self.kind.itemsize
+        ids, each = gathered(np.frombuffer(b"".join(pieces), dtype=self.kind), lengths, parts.reshape(-1))
+        return ids, each.reshape(-1, 2).sum(axis=1)
 
     def stems(self, stems: list[str]) -> list[bytes]:
         if not self.keeps_spaces:
@@ -156,6 +153,18 @@ class WordEncoder:
         return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
 
 
+def gathered(flat: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, number of ids) of the chosen pieces in turn; ``flat`` has all pieces, of the given lengths."""
+    begins = np.cumsum(lengths) - lengths
+    each = lengths[chosen]
+    ends = np.cumsum(each)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    places = np.repeat((begins[chosen] - (ends - each)).astype(kind), each)
+    places += np.arange(total, dtype=kind)
+    return flat[places], each
+
+
 def pc_quote(text: str) -> str:
     """The text as a regular expression."""
     return "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in text)
