@@ -75,6 +75,29 @@ def named_counts(counts: DataFrame, names: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def job_months(files: DataFrame) -> DataFrame:
+    """(job_id, year_month): one crawl month for each job of files(year_month, file_path, job_id).
+
+    A job over several months counts for the one that most of its files are
+    of, the earlier of equals, so its documents are counted once. Files without
+    a job or month, and job 0, which holds no results, are left out.
+    """
+    taken = files.filter((F.col("job_id") != 0) & F.col("year_month").isNotNull())
+    months = taken.groupBy("job_id", "year_month").agg(F.count(F.lit(1)).alias("files"))
+    most = F.min(F.struct(-F.col("files"), "year_month"))["year_month"]
+    return months.groupBy("job_id").agg(most.alias("year_month"))
+
+
+def monthly_counts(job_languages: DataFrame, files: DataFrame) -> DataFrame:
+    """(year_month, lang, n): stored counts of all jobs, job_languages(job_id, lang, count), by crawl month.
+
+    The join has one row per job on one side, however many files a job has.
+    Jobs without a file in ``files`` have no month and are left out.
+    """
+    dated = job_languages.join(job_months(files), "job_id")
+    return dated.groupBy("year_month", "lang").agg(F.sum("count").alias("n"))
+
+
 def market_share(counts: DataFrame, period: str = "period", top: int = TOP_LANGUAGES) -> DataFrame:
     """The ``top`` languages of each period by share of documents.
 

@@ -54,6 +54,15 @@ def file_paths(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select(month.alias("year_month"), path.alias("file_path"), job.alias("job_id"))
 
 
+def job_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of pages claimed by the jobs that sources stand for, most of a job's in one month."""
+    pages = table(spark, folder, "pages").filter("page_id % 11 <> 0")
+    job = F.col("page_id") % 20
+    month = F.when(F.col("page_id") % 3 == 0, F.col("page_id") % 12).otherwise(job % 6) + 1
+    year_month = F.concat(F.lit("2015-"), F.lpad(month.cast("string"), 2, "0"))
+    return pages.select(year_month.alias("year_month"), F.col("url").alias("file_path"), job.alias("job_id"))
+
+
 def claims(spark: SparkSession, folder: str) -> DataFrame:
     """Two rival claims to every path; the second one in the list came first."""
     paths = file_paths(spark, folder).select("year_month", "file_path")

@@ -54,6 +54,16 @@ PERIODS = """counts AS MATERIALIZED (
   SELECT CAST(substring(source, 4) AS INTEGER) AS period, lang, count(*) AS n
   FROM documents GROUP BY ALL)"""
 
+MONTHLY = """files AS (
+  SELECT '2015-' || lpad(CAST(CASE WHEN page_id % 3 = 0 THEN page_id % 12 ELSE page_id % 20 % 6 END + 1 AS VARCHAR), 2, '0') AS year_month,
+         page_id % 20 AS job_id
+  FROM pages WHERE page_id % 11 <> 0),
+months AS (
+  SELECT job_id, year_month FROM (SELECT job_id, year_month, count(*) AS n FROM files WHERE job_id <> 0 GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY n DESC, year_month) = 1),
+monthly AS MATERIALIZED (
+  SELECT year_month, lang, CAST(sum(n) AS BIGINT) AS n FROM named JOIN months USING (job_id) GROUP BY ALL)"""
+
 NAMED = f"""names(lang, name) AS (VALUES {NAMES}),
 named AS (
   SELECT CAST(substring(source, 4) AS BIGINT) AS job_id, name AS lang, count(*) AS n
@@ -320,6 +330,17 @@ FROM (SELECT p.period, l.lang, coalesce(c.n, 0) / p.total AS share
       FROM (SELECT period, CAST(sum(n) AS DOUBLE) AS total FROM counts GROUP BY period) p
       CROSS JOIN (SELECT DISTINCT lang FROM counts) l
       LEFT JOIN counts c ON c.period = p.period AND c.lang = l.lang)""",
+    "R1_monthly_share_top10": with_(NAMED, MONTHLY) + """
+SELECT year_month, lang, n, round(n / sum(n) OVER (PARTITION BY year_month), 6) AS share,
+       row_number() OVER (PARTITION BY year_month ORDER BY n DESC, lang) AS rank
+FROM monthly QUALIFY rank <= 10""",
+    "R2_monthly_share_trend": with_(NAMED, MONTHLY) + """
+SELECT year_month, lang, round(share, 6) AS share,
+       round(share - lag(share) OVER (PARTITION BY lang ORDER BY year_month), 6) AS change
+FROM (SELECT p.year_month, l.lang, coalesce(c.n, 0) / p.total AS share
+      FROM (SELECT year_month, CAST(sum(n) AS DOUBLE) AS total FROM monthly GROUP BY year_month) p
+      CROSS JOIN (SELECT DISTINCT lang FROM monthly) l
+      LEFT JOIN monthly c ON c.year_month = p.year_month AND c.lang = l.lang)""",
     "K5_vocabulary_head": with_(EN, TOK, VOCABULARY) + "SELECT term, df FROM vocabulary",
     "K6_vocabulary_order": with_(EN, TOK, VOCABULARY) + "SELECT idx, term FROM vocabulary",
     "U1_vocabulary_union": with_(EN, TOK, VOCABULARY, BENCHMARK_WORDS)

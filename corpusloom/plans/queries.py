@@ -314,6 +314,22 @@ def language_trend(spark, folder):
     return language.share_trend(language.language_counts(inputs.periods(spark, folder), "period"))
 
 
+def monthly_counts(spark, folder):
+    """Counts of languages by crawl month, from the stored tables of several jobs."""
+    rows = written(spark, named_languages(spark, folder).withColumnRenamed("n", "count"), "job_languages")
+    return language.monthly_counts(rows, stored(inputs.job_files(spark, folder), "file-paths"))
+
+
+@query("R1_monthly_share_top10")
+def monthly_share(spark, folder):
+    return language.market_share(monthly_counts(spark, folder), "year_month")
+
+
+@query("R2_monthly_share_trend")
+def monthly_trend(spark, folder):
+    return language.share_trend(monthly_counts(spark, folder), "year_month")
+
+
 # Vocabulary and weights
 
 

@@ -66,3 +66,13 @@ def test_market_share_keeps_the_top(spark):
     assert sorted(r.rank for r in got) == list(range(1, 11))
     assert max(got, key=lambda r: r.share).lang == "l00"
     assert [r.share for r in got if r.lang == "l00"] == pytest.approx([100 / sum(range(86, 101))])
+
+
+def test_months_of_jobs(spark):
+    files = [("2015-02", 1)] * 3 + [("2015-01", 1)] * 2 + [("2015-03", 2), ("2015-02", 2), ("2015-01", 0), ("2015-01", None), (None, 3)]
+    table = spark.createDataFrame([(m, f"f{i}", j) for i, (m, j) in enumerate(files)], "year_month string, file_path string, job_id int")
+    assert {tuple(r) for r in language.job_months(table).collect()} == {(1, "2015-02"), (2, "2015-02")}
+    stored = [(1, "English", 10), (1, "French", 2), (2, "English", 5), (3, "English", 100), (4, "French", 1), (0, "French", 1)]
+    counts = language.monthly_counts(spark.createDataFrame(stored, "job_id long, lang string, count long"), table)
+    assert {tuple(r) for r in counts.collect()} == {("2015-02", "English", 15), ("2015-02", "French", 2)}
+    assert language.monthly_counts(spark.createDataFrame(stored, "job_id long, lang string, count long"), table.limit(0)).collect() == []
