@@ -22,6 +22,9 @@ from corpusloom.functions.fixed_values import VOCABULARY_SIZE
 from corpusloom.functions.text import norm_sql, runs_norm, token_runs, token_runs_sql, tokens, tokens_sql
 from corpusloom.operators.vocabulary import EVERY_DOCUMENT, document_frequency
 
+# Terms of a vocabulary at most.
+MOST_TERMS = 262_144
+
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(doc_id, term, c) for every token of every document."""
@@ -118,8 +121,8 @@ def weighting_of(
     """Weighting from document frequencies, in one pass over them.
 
     The empty term, which has the number of documents, sorts in front of all
-    others. A given vocabulary must be bounded by its source (a word list), as
-    it becomes model state.
+    others. The vocabulary becomes model state, held by the driver and every
+    task, so more than ``MOST_TERMS`` terms are refused.
     """
     if vocabulary is None:
         known = frequencies.orderBy(F.desc("df"), "term").limit(size + 1)
@@ -127,7 +130,10 @@ def weighting_of(
         listed = vocabulary.select("term")
         every = listed.sparkSession.createDataFrame([(EVERY_DOCUMENT,)], "term string")
         known = listed.unionByName(every).join(frequencies, "term", "left")
-    found = {row.term: row.df or 0 for row in known.collect()}
+    rows = known.limit(MOST_TERMS + 2).collect()  # the terms and the empty one, or one more
+    if len(rows) > MOST_TERMS + 1:
+        raise ValueError(f"a vocabulary of over {MOST_TERMS} terms is too large for one model")
+    found = {row.term: row.df or 0 for row in rows}
     documents = found.pop(EVERY_DOCUMENT, 0)
     return Weighting(
         tuple((t, df, log((documents + 1) / (df + 1))) for t, df in sorted(found.items())), documents

@@ -1,6 +1,6 @@
 """Word lists: lines of text through the tokenizer."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.functions import fixed_values as fixed
 from corpusloom.functions.text import tokens
@@ -15,18 +15,22 @@ def read_word_list(spark: SparkSession, path) -> DataFrame:
     return words_of(spark.read.text(path))
 
 
-def read_ordered_word_list(spark: SparkSession, path) -> DataFrame:
-    """(term, pos): words of a vocabulary file, one word a line, best first.
+def read_ordered_word_list(spark: SparkSession, path, size: int = fixed.VOCABULARY_SIZE) -> DataFrame:
+    """(term, pos): the first ``size`` words of vocabulary files, best first, each with its first place.
 
-    A vocabulary file is a hand-kept list of words, so it is read as one
-    record and its order is the order in the file.
+    The files follow each other in order of their names. A repeated word counts
+    for ``size`` each time and is listed once. A vocabulary file is a hand-kept
+    list of words, so it is read as one record and its order is the order in
+    the file; the window holds one number per file.
     """
     whole = spark.read.text(path, wholetext=True)
-    return (
-        whole.select(F.posexplode(tokens("value")).alias("pos", "term"))
-        .groupBy("term")
-        .agg(F.min("pos").cast("bigint").alias("pos"))
-    )
+    files = whole.select(F.col("_metadata.file_path").alias("file"), tokens("value").alias("terms"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    counts = files.select("file", F.size("terms").cast("bigint").alias("n"))
+    starts = counts.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    placed = files.join(starts, "file").select("before", F.posexplode("terms").alias("at", "term"))
+    placed = placed.select("term", (F.col("before") + F.col("at")).alias("pos"))
+    return placed.filter(F.col("pos") < size).groupBy("term").agg(F.min("pos").alias("pos"))
 
 
 def excluded_words(spark: SparkSession) -> DataFrame:

@@ -80,6 +80,16 @@ def test_word_lists(spark):
     assert word_lists.filter_words(spark).filter("term IN ('acuvue', 'zyrtec-d', 'sustenna')").count() == 3
 
 
+def test_ordered_words_of_several_files(spark, tmp_path):
+    lists = {"a.txt": ["apple", "pear", "apple"], "b.txt": [], "c.txt": ["fig", "pear", "plum"], "d.txt": ["cherry"]}
+    for name, words in reversed(lists.items()):
+        (tmp_path / name).write_text("".join(w + "\n" for w in words))
+    plain = [w for name in sorted(lists) for w in lists[name]]
+    for size in (0, 1, 3, 5, 6, 25_000):
+        got = word_lists.read_ordered_word_list(spark, str(tmp_path), size).orderBy("pos").collect()
+        assert [(r.term, r.pos) for r in got] == [(w, plain.index(w)) for w in dict.fromkeys(plain[:size])]
+
+
 def test_keyword_filter(spark):
     texts = [(1, "fig once"), (2, "fig fig"), (3, "Fig and date-palm"), (4, ""), (5, "date-palm figs")]
     texts += [(1, "fig again"), (None, "fig fig"), (6, None)]

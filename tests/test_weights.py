@@ -92,3 +92,12 @@ def test_text_work_is_not_repeated_or_shuffled(spark, docs):
     assert plan.count("regexp_extract_all") == 1 and "Exchange" not in plan
     plan = weights.term_counts(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp_extract_all") == 1 and "Exchange" not in plan
+
+
+def test_vocabulary_too_large_for_a_model(spark, monkeypatch):
+    monkeypatch.setattr(weights, "MOST_TERMS", 3)
+    docs = spark.createDataFrame([(1, "apple pear"), (2, "apple fig plum")], "doc_id long, text string")
+    three = spark.createDataFrame([("apple",), ("pear",), ("unseen",)], "term string")
+    assert [e[:2] for e in weights.fit_weighting(docs, three).terms] == [("apple", 2), ("pear", 1), ("unseen", 0)]
+    with pytest.raises(ValueError):
+        weights.fit_weighting(docs, three.union(docs.selectExpr("concat('more', doc_id)")))
