@@ -423,7 +423,8 @@ SELECT (SELECT count(*) FROM (SELECT src FROM edges UNION SELECT dst FROM edges)
 FROM edges""",
     "R5_modularity": with_(*WEIGHTS, DOCUMENT_EDGES, *propagated(), MODULARITY) + """
 SELECT count(*) AS communities,
-       round(sum(coalesce(inner_weight, 0) / total - power(degree / (2 * total), 2)), 6) AS modularity
+       round(sum(coalesce(inner_weight, 0) / total - power(degree / (2 * total), 2)), 6) AS modularity,
+       (SELECT bool_and(converged) FROM labels) AS converged
 FROM degrees LEFT JOIN inside USING (label) CROSS JOIN whole""",
     "R6_keyword_scale": with_(*LLOYD, KEYWORDS) + """
 SELECT cluster_id, term, round(weight / max(weight) OVER (PARTITION BY cluster_id), 6) AS scale FROM keywords""",

@@ -690,7 +690,9 @@ def document_communities(spark, folder):
 @query("R5_modularity")
 def propagated_modularity(spark, folder):
     edges = stored(document_edges(spark, folder), "edges")
-    return graph.modularity(edges, graph.communities(edges))
+    labels = graph.communities(edges)
+    settled = labels.agg(F.min("converged")).first()[0]
+    return graph.modularity(edges, labels).withColumn("converged", F.lit(settled))
 
 
 @query("R4_modular_communities")
