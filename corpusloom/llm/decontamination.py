@@ -18,7 +18,11 @@ item; the tests measure it there. So every word begins a window and there are
 ``TABLES`` tables; with fewer of either, distant items are lost. A walk ends after
 ``STEPS`` steps: over a whole item a fifth apart no walk stays in step.
 Every candidate is then compared exactly, by the bit-parallel edit distance of
-the whole item to the best part of the text around the window.
+the whole item to the best part of the text around the window; candidates of one
+item whose surroundings overlap are compared at once. Before that
+the distances of the item's pieces of up to ``PIECE`` letters are counted for many
+candidates together: their sum is never over the item's own distance, so where it is
+over the limit the item need not be compared.
 
 Items are broadcast in parts of at most ``ITEM_BYTES``; more of them take more
 passes. Items without words are never found; equal items are all reported. A
@@ -40,9 +44,14 @@ TABLES = 6
 SLICE = 2_000_000
 LANES = 16_384
 UNFILTERED = 3
-ITEM_BYTES = 32_000_000
+ITEM_BYTES = 2_000_000  # some 100 MB of filters and keys
+PIECE = 64  # letters, one for each bit of a number
+PAIRS = 512
+LONGEST_PART = 4096  # letters; longer parts are compared with the whole item at once
 FILTER_SPREAD = 16  # bits of a filter for each window
 MIX = np.uint64(0x9E3779B97F4A7C15)
+ONES = np.uint64(1) << np.arange(PIECE, dtype=np.uint64)
+BIT = np.uint8(1) << np.arange(8, dtype=np.uint8)
 LETTER = mixed(np.arange(1, 257, dtype=np.uint64) * MIX)
 
 
@@ -81,6 +90,55 @@ def distance_within(item: str, text: str) -> int:
     return best
 
 
+def _codes(text: str) -> np.ndarray:
+    """Letters by 8 bits; some that differ are the same here."""
+    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return ((letters ^ letters >> 8) & 255).astype(np.uint8)
+
+
+def least_distances(pairs: list[tuple[str, str]]) -> np.ndarray:
+    """For pairs of an item and a text, shorter texts first: a number not over their least edit distance.
+
+    The item is cut into pieces and each goes its own way through the text, all
+    of them a letter at a time, with the columns of differences as bits.
+    """
+    pieces, owner = [], []
+    for number, (item, _) in enumerate(pairs):
+        parts = np.array_split(_codes(item), -(-len(item) // PIECE))
+        pieces += parts
+        owner += [number] * len(parts)
+    if not pieces:
+        return np.zeros(0, dtype=np.int64)
+    owner, sizes = np.array(owner), np.array([len(p) for p in pieces])
+    masks = np.zeros((len(pieces), 256), dtype=np.uint64)
+    for lane, piece in enumerate(pieces):
+        np.bitwise_or.at(masks[lane], piece, ONES[: len(piece)])
+    masks, base = masks.ravel(), np.arange(len(pieces)) * 256
+    lengths = np.array([len(text) for _, text in pairs])
+    letters = np.zeros((lengths.max(initial=0), len(pairs)), dtype=np.uint8)
+    for number, (_, text) in enumerate(pairs):
+        letters[: len(text), number] = _codes(text)
+    top, one = (sizes - 1).astype(np.uint64), np.uint64(1)
+    score, best = sizes.copy(), sizes.copy()
+    up, down = np.full(len(pieces), ~np.uint64(0)), np.zeros(len(pieces), dtype=np.uint64)
+    begin = np.searchsorted(owner, np.searchsorted(lengths, np.arange(len(letters)), "right"))
+    done = 0
+    for row, first in zip(letters, begin.tolist()):
+        if first > done:  # their texts are over
+            up, down, score = up[first - done :], down[first - done :], score[first - done :]
+            done = first
+        eq = masks.take(base[first:] + row.take(owner[first:]))
+        xv = eq | down
+        xh = (((eq & up) + up) ^ up) | eq
+        ph = down | ~(xh | up)
+        mh = up & xh
+        score = score + (ph >> top[first:] & one).view(np.int64) - (mh >> top[first:] & one).view(np.int64)
+        np.minimum(best[first:], score, out=best[first:])
+        ph, mh = ph << one, mh << one
+        up, down = mh | ~(xv | ph), ph & xv
+    return np.bincount(owner, weights=best, minlength=len(pairs)).astype(np.int64)
+
+
 def allowed(item: str) -> int:
     return int(len(item) * SHARE)
 
@@ -91,7 +149,7 @@ class Table:
 
     bits: np.ndarray  # of each step and letter
     steps: list[int]
-    alive: list[np.ndarray]  # after each sample: bits of keys that an item may have
+    alive: list[np.ndarray]  # after each sample but the first ``UNFILTERED``: bits of keys that an item may have
     ended: list[np.ndarray]  # after each sample: keys of windows that have no more samples
     where: list[np.ndarray]  # the window of each of these keys
 
@@ -106,6 +164,7 @@ class Index:
     offset: np.ndarray  # bytes of the item before the window
     bits: int  # of a filter's addresses
     tables: list[Table]
+    sizes: list[int]  # bytes of each item
 
 
 def _starts(letters: np.ndarray) -> np.ndarray:
@@ -154,15 +213,17 @@ def build(ids: list, texts: list[str | None]) -> Index:
                     ended[-1], where[-1] = _sorted(np.append(ended[-1], key[over]), np.append(where[-1], own[over]))
                     place, key, own, letter = place[~over], key[~over], own[~over], letter[~over]
                 key = _step(key, letter)
-                may = np.zeros(1 << bits_, dtype=np.uint8)
-                may[key >> np.uint64(64 - bits_)] = 1
-                alive.append(np.packbits(may, bitorder="little"))
+                if len(ended) >= UNFILTERED:
+                    may = np.zeros(1 << bits_, dtype=np.uint8)
+                    may[key >> np.uint64(64 - bits_)] = 1
+                    alive.append(np.packbits(may, bitorder="little"))
                 ended.append(np.zeros(0, dtype=np.uint64))
                 where.append(np.zeros(0, dtype=np.int64))
             place = place + bits[step][letter]
         ended[-1], where[-1] = _sorted(key, own)
         tables.append(Table(bits, steps, alive, ended, where))
-    return Index([i for i, _ in kept], items, np.array(item, dtype=np.int64), np.array(offset, dtype=np.int64), bits_, tables)
+    sizes = [len(c) - 1 for c in coded]
+    return Index([i for i, _ in kept], items, np.array(item, dtype=np.int64), np.array(offset, dtype=np.int64), bits_, tables, sizes)
 
 
 def _sorted(key, own):
@@ -185,9 +246,9 @@ def _hits(table: Table, filter_bits: int, letters: np.ndarray, starts: np.ndarra
             if step == table.steps[sample]:
                 key = _step(key, letter)
                 if sample >= UNFILTERED:  # nearly every window still goes on before that
-                    address = key >> shift
-                    near = (table.alive[sample][address >> np.uint64(3)] >> (address & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
-                    begin, place, key, letter = begin[near], place[near], key[near], letter[near]
+                    address = (key >> shift).view(np.int64)
+                    near = np.flatnonzero(table.alive[sample - UNFILTERED].take(address >> 3) & BIT.take(address & 7))
+                    begin, place, key, letter = begin.take(near), place.take(near), key.take(near), letter.take(near)
                 keys = table.ended[sample]
                 if len(keys) and len(key):
                     left, right = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
@@ -216,21 +277,32 @@ def leaks(index: Index, texts: list[str | None]) -> list[dict[int, int]]:
     item = index.item[window]
     origin = place - index.offset[window]  # where the item would begin
     owner = np.searchsorted(ends, place)
+    around: dict[tuple[int, int], list[list[int]]] = {}  # of a text and an item: parts of the text, apart from each other
     for own, number, begin in sorted(set(zip(owner.tolist(), item.tolist(), (origin // 16 * 16).tolist()))):
-        text = index.items[number]
-        limit = allowed(text)
-        if found[own].get(number, limit + 1) == 0:
-            continue
-        size = len(text.encode("utf-8", "surrogatepass"))
+        limit = allowed(index.items[number])
         first, last = int(ends[own - 1]) + 1 if own else 0, int(ends[own])
         for most in (4, 1):  # bytes of a letter; one is enough where all letters around have one
             slack = (most + 1) * limit + 8
-            low, high = max(first, begin - slack), min(last, begin + 16 + size + slack)
+            low, high = max(first, begin - slack), min(last, begin + 16 + index.sizes[number] + slack)
             if not data[low:high].isascii():
                 break
-        distance = distance_within(text, data[low:high].decode("utf-8", "ignore"))
-        if distance <= limit:
-            found[own][number] = min(distance, found[own].get(number, distance))
+        parts = around.setdefault((own, number), [])
+        while parts and low <= parts[-1][1]:
+            before = parts.pop()
+            low, high = min(low, before[0]), max(high, before[1])
+        parts.append([low, high])
+    near = [(own, number, data[low:high].decode("utf-8", "ignore")) for (own, number), parts in around.items() for low, high in parts]
+    near.sort(key=lambda c: len(c[2]))
+    for low in range(0, len(near), PAIRS):
+        some = near[low : low + PAIRS]
+        short = [c for c in some if len(c[2]) <= LONGEST_PART]
+        least = least_distances([(index.items[number], part) for _, number, part in short]).tolist()
+        for (own, number, part), bound in zip(some, least + [0] * (len(some) - len(short))):
+            limit = allowed(index.items[number])
+            if bound <= limit:
+                distance = distance_within(index.items[number], part)
+                if distance <= limit:
+                    found[own][number] = min(distance, found[own].get(number, distance))
     return found
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -125,3 +126,34 @@ def test_odd_rows(spark, odd, empty):
     assert sorted(str(r.doc_id) for r in left.collect()) == ["2", "3", "5", "None", "None"]
     assert leaks.leaked(empty, items).collect() == [] and leaks.leaked(odd, items.limit(0)).collect() == []
     assert leaks.without_leaks(odd, items.limit(0)).count() == 9
+
+
+def test_least_distances_are_never_over_the_distance():
+    random = np.random.default_rng(3)
+    letters = list("abcdé 漢字xyz")
+    pairs = []
+    for number in range(300):
+        item = "".join(random.choice(letters, size=random.integers(1, 200)))
+        text = "".join(random.choice(letters, size=random.integers(0, 300)))
+        if number % 2:
+            changed = list(item)
+            for at in random.integers(0, len(item), size=len(item) // 6):
+                changed[at] = random.choice(letters)
+            text = text[:50] + "".join(changed) + text[50:]
+        pairs.append((item, text))
+    pairs.sort(key=lambda p: len(p[1]))
+    exact = np.array([leaks.distance_within(*p) for p in pairs])
+    least = leaks.least_distances(pairs)
+    assert (least <= exact).all()
+    one_piece = np.array([len(item) <= leaks.PIECE for item, _ in pairs])
+    assert (least == exact)[one_piece].all() and one_piece.sum() > 50
+    assert len(leaks.least_distances([])) == 0
+
+
+def test_items_near_each_other_and_in_long_parts_are_found():
+    items = ["the quick brown fox jumps over the lazy dog near the river bank today", "seven wizards quietly boxed up jars of violet jam for the evening train"]
+    index = leaks.build([1, 2], items)
+    edited = items[0].replace("brown", "brwn")
+    many = " ".join([edited] * 100)
+    found = leaks.leaks(index, [edited + " and " + items[0], many, many + " " + items[1], ""])
+    assert found == [{0: 0}, {0: 1}, {0: 1, 1: 0}, {}]
