@@ -15,9 +15,12 @@ sets. Texts are whole; a null text is the empty text, which has one empty
 paragraph, so equal texts have likeness 1.
 
 Documents are put in descending order of key, null keys last, ties by text.
-``EDGE`` keys in a row make a group; a text is shuffled once, to its group,
+``EDGE`` keys in a row make a part; a text is shuffled once, to its group,
 and only groups' ends meet their neighbours in the next group, in a tree of
-groups of groups. Equal rows follow each other as separate rows.
+parts of parts. A part is one group, unless it has over ``GROUP_ROWS`` rows: then
+equal rows are counted first, and its groups are its keys, each cut by ranges of
+the tie, so one key of very many rows, or no key, fills many groups. Equal rows
+follow each other as separate rows.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -28,6 +31,9 @@ WIDTH = 12
 ROUNDS = 16
 EDGE = 512
 SPLIT = 4
+GROUP_ROWS = 65_536
+MOST_HOT = 100_000  # parts of more rows than a group takes, which are broadcast
+COPIES = 4_096  # equal rows written out at once
 
 CELLS = "array<struct<n: int, x: bigint>>"
 CHECK = "(xxhash64(shiftrightunsigned({d}, 24)) & 16777215L)"
@@ -160,15 +166,59 @@ def _group(key: str):
     return F.expr(f"({key} - pmod({key}, {EDGE}L)) DIV {EDGE}L")
 
 
+GROUP = ["part", "key", "range"]
+
+
+def _grouped(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows (doc_id, text, tie, ds, part, key, range), and those of parts with too many rows with their number n, or None.
+
+    In parts of too many rows equal rows are one. Their limit grows with the
+    table only where there would be more than ``MOST_HOT`` such parts.
+    """
+    hashed = ["doc_id", "text", "xxhash64(text) AS tie", f"{digests('text')} AS ds", "part"]
+    rows = rows.withColumn("part", _group("doc_id"))
+    counts = rows.groupBy("part").count()
+    total, largest = counts.agg(F.sum("count"), F.max("count")).first()
+    limit = max(GROUP_ROWS, (total or 0) // MOST_HOT)
+    cold = rows.selectExpr(*hashed, "CAST(NULL AS BIGINT) AS key", "0L AS range")
+    if (largest or 0) <= limit:
+        return cold, None
+    hot = F.broadcast(counts.filter(F.col("count") > limit).select(F.col("part").alias("hot"), F.lit(True).alias("is_hot")))
+    marked = rows.join(hot, F.col("part").eqNullSafe(F.col("hot")), "left")
+    many = marked.filter("is_hot").groupBy("doc_id").count().agg(F.max("count")).first()[0]
+    bits = (many // limit).bit_length()
+    found = marked.filter("is_hot").groupBy("part", "doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
+    copied = kept(found.selectExpr(*hashed, "n"), "copied")
+    apart = copied.selectExpr("*", "doc_id AS key", f"shiftright(tie, {64 - bits}) AS range" if bits else "0L AS range").drop("n")
+    rest = marked.filter("is_hot IS NULL").selectExpr(*hashed, "CAST(NULL AS BIGINT) AS key", "0L AS range")
+    return rest.unionByName(apart), copied
+
+
+def _following(groups: DataFrame) -> DataFrame:
+    """(own, next): the group after each group; after the last comes the first."""
+    order = Window.partitionBy("part").orderBy(F.col("key").desc_nulls_last(), "range")
+    own = F.struct(*GROUP)
+    placed = kept(groups.select("part", own.alias("own"), F.lead(own).over(order).alias("next"), F.first(own).over(order).alias("top")), "groups")
+    tops = placed.select("part", "top").distinct()
+    first = placed.orderBy(F.col("part").desc_nulls_last()).limit(1).select("part").head()
+    after = next_lower(tops.select(F.col("part").alias("id"))).select(
+        F.col("id").alias("own_part"),
+        F.when(F.col("next").isNotNull(), F.col("next.id")).otherwise(F.lit(None if first is None else first[0]).cast("long")).alias("next_part"),
+    )
+    reached = after.join(tops, F.col("next_part").eqNullSafe(F.col("part"))).select("own_part", F.col("top").alias("after_top"))
+    inside = placed.filter("next IS NOT NULL").select("own", "next")
+    last = placed.filter("next IS NULL").select("part", "own")
+    return inside.unionByName(last.join(reached, F.col("part").eqNullSafe(F.col("own_part"))).select("own", F.col("after_top").alias("next")))
+
+
 def fingerprinted(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row.
 
     The edited text has its last half, rounded down, replaced by as much of the
     next document's beginning; after the last document comes the first.
     """
-    rows = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "coalesce(CAST(text AS STRING), '') AS text")
-    rows = rows.selectExpr("doc_id", "text", "xxhash64(text) AS tie", f"{digests('text')} AS ds").withColumn("part", _group("doc_id"))
-    order = Window.partitionBy("part").orderBy(F.col("doc_id").desc_nulls_last(), "tie")
+    rows, copied = _grouped(docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "coalesce(CAST(text AS STRING), '') AS text"))
+    order = Window.partitionBy(*GROUP).orderBy(F.col("doc_id").desc_nulls_last(), "tie")
     placed = rows.withColumn("place", F.row_number().over(order)).withColumn("follow", F.lead(F.struct("text", "ds")).over(order))
     edge = "place = 1 OR follow IS NULL"
     half = "length(text) DIV 2"
@@ -177,20 +227,20 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
         "doc_id", "CAST(length(text) AS BIGINT) AS n_chars", "ds", "follow.ds AS next_ds",
         f"CASE WHEN follow IS NOT NULL THEN {edited} END AS edited",
     ]
-    shown = placed.selectExpr(*columns, "part", "place", "follow IS NULL AS last", f"CASE WHEN {edge} THEN text END AS text")
+    shown = placed.selectExpr(*columns, *GROUP, "place", "follow IS NULL AS last", f"CASE WHEN {edge} THEN text END AS text")
     digested = ["doc_id", "n_chars", "ds", "next_ds", "sha2(edited, 256) AS edited_sha256", f"{digests('edited')} AS edited_ds"]
-    own = kept(shown.selectExpr(*digested, "part", "place", "last", "text"), "neighbours")
-
-    heads = kept(own.filter("place = 1").select("part", "text", "ds"), "heads")
-    lasts = own.filter("last").select("doc_id", "n_chars", "part", "text", "ds")
-    after = next_lower(heads.select(F.col("part").alias("id"))).select(F.col("id").alias("own_part"), F.col("next").alias("next"))
-    first = heads.orderBy(F.col("part").desc_nulls_last()).limit(1).select(F.col("part").alias("first_part"))
-    top = first.head()
-    following = after.select("own_part", F.when(F.col("next").isNotNull(), F.col("next.id")).otherwise(F.lit(None if top is None else top[0]).cast("long")).alias("next_part"))
-    heads = heads.select(F.col("part").alias("head_part"), F.struct("text", "ds").alias("follow"))
-    met = lasts.join(following, lasts["part"].eqNullSafe(following["own_part"])).join(heads, F.col("next_part").eqNullSafe(F.col("head_part")))
+    own = kept(shown.selectExpr(*digested, *GROUP, "place", "last", "text"), "neighbours")
+
+    heads = kept(own.filter("place = 1").select(*GROUP, "text", "ds"), "heads")
+    lasts = own.filter("last").select("doc_id", "n_chars", *GROUP, "text", "ds")
+    following = _following(heads.select(*GROUP))
+    heads = heads.select(F.struct(*GROUP).alias("head"), F.struct("text", "ds").alias("follow"))
+    met = lasts.join(following, F.struct(*(lasts[c] for c in GROUP)).eqNullSafe(F.col("own"))).join(heads, F.col("next").eqNullSafe(F.col("head")))
     ends = met.selectExpr(*columns).selectExpr(*digested)
-    every = own.filter("NOT last").select(*ends.columns).unionByName(ends)
+    every = own.filter("NOT last").select(*ends.columns).unionByName(ends).withColumn("copies", F.lit(1).cast("long"))
+    if copied is not None:  # all of equal rows but one are followed by their like
+        alike = copied.filter("n > 1").withColumn("follow", F.struct("text", "ds"))
+        every = every.unionByName(alike.selectExpr(*columns, "n - 1 AS copies").selectExpr(*digested, "copies"))
     every = kept(every.withColumn("id", F.monotonically_increasing_id()), "digests")
 
     pairs = every.selectExpr("id * 2 AS id", "ds AS a", "edited_ds AS b").unionByName(
@@ -202,10 +252,15 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
         F.max(F.expr("CASE WHEN id % 2 = 1 THEN n_differing END")).alias("from_next"),
     )
     near = "(size(ds) + size({o}) - {d}) / CAST(size(ds) + size({o}) + {d} AS DOUBLE)"
-    return every.join(by_row, "id").selectExpr(
+    shown = every.join(by_row, "id").selectExpr(
         "doc_id", "n_chars", "edited_sha256",
         f"{written(sketch('ds'))} AS fingerprint",
         f"{written(sketch('edited_ds'))} AS edited_fingerprint",
         f"{near.format(o='edited_ds', d='from_edited')} AS near_edited",
         f"{near.format(o='next_ds', d='from_next')} AS near_next",
+        "copies",
     )
+    if copied is None:
+        return shown.drop("copies")
+    lots = shown.withColumn("lot", F.expr(f"explode(sequence(0L, copies - 1, {COPIES}L))")).repartition("doc_id", "edited_sha256", "lot")
+    return lots.withColumn("copy", F.expr(f"explode(sequence(1L, least({COPIES}L, copies - lot)))")).drop("copies", "lot", "copy")

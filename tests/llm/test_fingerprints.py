@@ -59,3 +59,29 @@ def test_odd_rows(docs, odd, empty):
     assert fingerprints.fingerprinted(empty).collect() == []
     (one,) = fingerprints.fingerprinted(docs([(7, "ab\ncd")])).collect()
     assert one.near_next == 1 and one.edited_sha256 == hashlib.sha256(b"ab\nab").hexdigest()
+
+
+def test_a_key_of_many_rows_and_no_key_fill_several_groups(spark, docs, monkeypatch):
+    monkeypatch.setattr(fingerprints, "GROUP_ROWS", 8)
+    monkeypatch.setattr(fingerprints, "COPIES", 3)
+    rng = random.Random(6)
+    line = lambda: "\n".join(f"line {rng.randrange(40)} é" for _ in range(rng.choice([1, 2, 5])))
+    rows = [(None, line()) for _ in range(60)] + [(None, "a copy\nof one")] * 25 + [(None, None)] * 2
+    rows += [(5, line()) for _ in range(40)] + [(5, "same")] * 10 + [(6, "x\ny")] * 2 + [(7, line())]
+    rows += [(9000, line()), (-9000, line())] + [(-9000, "z")] * 30 + [(10**12, line()) for _ in range(4)]
+    table = docs(rows)
+    ties = {r.text: r.tie for r in table.selectExpr("coalesce(text, '') AS text", "xxhash64(coalesce(text, '')) AS tie").distinct().collect()}
+    texts = [(key, text or "") for key, text in rows]
+    texts.sort(key=lambda r: (r[0] is None, -(r[0] or 0), ties[r[1]]))
+    want = []
+    for i, (key, text) in enumerate(texts):
+        after = texts[(i + 1) % len(texts)][1]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        a, c = set(text.split("\n")), set(after.split("\n"))
+        want.append((str(key), len(text), hashlib.sha256(edited.encode()).hexdigest(), round(len(a & c) / len(a | c), 9)))
+    got = fingerprints.fingerprinted(table).collect()
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256, round(r.near_next, 9)) for r in got) == sorted(want)
+    placed, copied = fingerprints._grouped(table.selectExpr("doc_id", "coalesce(text, '') AS text"))
+    assert placed.groupBy(*fingerprints.GROUP).count().selectExpr("max(count)").first()[0] <= 16
+    assert copied.agg({"n": "max"}).first()[0] == 30
