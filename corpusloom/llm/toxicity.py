@@ -290,7 +290,12 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
     kernel = Kernel(landmarks)
     values, vectors = np.linalg.eigh(kernel(landmarks).astype(np.float64))
     root = vectors / np.sqrt(np.maximum(values, 1e-6))
-    shown = kernel([w[:LONGEST_WORD] for w in words]) @ root.astype(np.float32)
+    parts = [windows(w) for w in words]
+    sizes = np.array([len(p) for p in parts])
+    begins = np.cumsum(sizes) - sizes
+    every = kernel([w for p in parts for w in p]) @ root.astype(np.float32)
+    owners = np.repeat(np.arange(len(words)), sizes)
+    shown = every[begins]  # a word's window: the first, and after each turn the one of the greatest value, as in scoring
 
     def features(chosen: np.ndarray) -> np.ndarray:
         """Sums over the words of the chosen sentences."""
@@ -316,7 +321,9 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
         y = np.where(label[chosen], 1.0, -1.0)
         costs = np.where(label[chosen], 1 / max(1, label[chosen].sum()), 1 / max(1, (~label[chosen]).sum()))
         weights, bias = _machine(features(chosen), y, costs)
-        margins = bias + np.bincount(number, weights=(shown @ weights.astype(np.float32))[code], minlength=total)
+        values = every @ weights.astype(np.float32)
+        shown = every[np.lexsort((-values, owners))[begins]]
+        margins = bias + np.bincount(number, weights=np.maximum.reduceat(values, begins)[code], minlength=total)
         # the worst sentences of each toxic and of each clean document
         order = np.lexsort((-margins, owner))
         place = np.arange(total) - np.repeat(first, np.diff(np.append(first, total)))

@@ -71,3 +71,16 @@ def test_odd_rows(spark, docs, odd, empty):
     assert left.columns == odd.columns and {r.doc_id % 2 for r in left.collect()} == {0}
     assert toxicity.fit(docs(rows), labels.limit(0)).constant == 0.0
     assert toxicity.fit(empty, labels).constant == 0.0
+
+
+def test_long_words_are_learnt_by_all_their_windows():
+    """An insult behind more than a window's letters, run together with others."""
+    clean = ["the weather is fine today", "we went for a walk", "notes on a long evening", "a table of results"]
+    padding = "abcdefghijklmnopqrstuvwxyzabcd"
+    texts = [f"{c} {i}" for i, c in enumerate(clean * 10)] + [f"{c} you worthless idiot" for c in clean * 5]
+    texts += [f"{c} {padding}worthless" for c in clean * 5] + [f"{c} {padding}" for c in clean * 10]
+    toxic = np.array([False] * 40 + [True] * 40 + [False] * 40)
+    scores = toxicity.train(texts, toxic).scorer().scores(pa.array(texts))
+    assert scores[toxic].min() > scores[~toxic].max()
+    fresh = toxicity.train(texts, toxic).scorer().scores(pa.array([f"a note {padding}worthless", f"a note {padding}"]))
+    assert fresh[0] >= toxicity.THRESHOLD > fresh[1]
