@@ -4,6 +4,7 @@ An edge table is edges(src, dst, weight), each undirected edge once. Except
 for ``jaccard_edges`` the operators take edge tables of any size.
 """
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.session import stored
@@ -11,6 +12,12 @@ from corpusloom.session import stored
 # Rounds of label propagation at most, and parts of a node's links in the join with labels.
 ROUNDS = 10
 SALTS = 8
+# Links of a task at about the most, and rounds whose halves a link carries as bits.
+PART_LINKS = 4_000_000
+HALVES = 30
+# Links of a list at most. Share of the nodes: when no more move in a round, votes are kept and corrected.
+LIST = 8192
+FEW = 0.25
 
 
 def jaccard_edges(members: DataFrame) -> DataFrame:
@@ -56,6 +63,47 @@ def in_part(node: str, turn: int, parts: int):
     return F.pmod(F.xxhash64(F.col(node), F.lit(turn)), F.lit(parts))
 
 
+def by_neighbour(links: DataFrame, *carried: str) -> DataFrame:
+    """(neighbour, salt, near): stored links in lists of at most ``LIST``, kept by the executors; to be unpersisted.
+
+    ``near`` lists (node, carried...). The lists lie by (neighbour, salt) and are
+    sorted, in a number of parts that goes with the links, so a later join with
+    labels moves and sorts the labels only and opens the lists that match.
+    """
+    least = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-links.count() // PART_LINKS))
+    placed = links.repartition(parts, "neighbour", "salt").sortWithinPartitions("neighbour", "salt")
+    numbered = placed.withColumn("part", F.floor(F.monotonically_increasing_id() / LIST))
+    near = F.collect_list(F.struct("node", *carried)).alias("near")
+    lists = numbered.groupBy("neighbour", "salt", "part").agg(near).select("neighbour", "salt", "near")
+    return lists.sortWithinPartitions("neighbour", "salt").persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def shown(labels: DataFrame, *columns: str) -> DataFrame:
+    """labels(node, columns...) once for each part of a neighbour's links."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    return labels.select(F.col("node").alias("neighbour"), *columns, salts)
+
+
+def _votes(lists: DataFrame, labels: DataFrame, mine=None) -> DataFrame:
+    """(node, label, weight, n): sums over the links of all nodes, or of those ``mine``."""
+    near = lists.join(shown(labels, "label"), ["neighbour", "salt"]).select("label", F.explode("near").alias("l")).select("label", "l.*")
+    near = near if mine is None else near.filter(mine)
+    return near.groupBy("node", "label").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+
+
+def _changed_votes(votes: DataFrame, lists: DataFrame, moved: DataFrame) -> DataFrame:
+    """The votes after moved(node, before, label): only links of these nodes are opened."""
+    near = lists.join(shown(moved, "before", "label"), ["neighbour", "salt"]).select("before", "label", F.explode("near").alias("l"))
+    both = F.array(
+        F.struct(F.col("before").alias("label"), (-F.col("l.weight")).alias("weight"), F.lit(-1).cast("bigint").alias("n")),
+        F.struct(F.col("label").alias("label"), F.col("l.weight").alias("weight"), F.lit(1).cast("bigint").alias("n")),
+    )
+    change = near.select("l.node", F.explode(both).alias("v")).select("node", "v.*")
+    sums = votes.unionByName(change).groupBy("node", "label").agg(F.sum("weight").alias("weight"), F.sum("n").alias("n"))
+    return stored(sums.filter("n > 0"), "votes")
+
+
 def communities(edges: DataFrame, nodes: DataFrame | None = None, rounds: int = ROUNDS) -> DataFrame:
     """(node, label, converged) by label propagation until no label changes.
 
@@ -69,7 +117,9 @@ def communities(edges: DataFrame, nodes: DataFrame | None = None, rounds: int =
 
     Votes are summed per (node, label) before the best is picked by a plain
     minimum, and a node's links are joined in ``SALTS`` parts, so a node with
-    very many neighbours is never in one task whole.
+    very many neighbours is never in one task whole. Links lie by neighbour for
+    all rounds and carry the halves of their node. Once few nodes move, the votes
+    are kept and only the links of nodes that moved are added and taken off.
     """
     salt = F.pmod(F.hash("node"), F.lit(SALTS)).alias("salt")
     links = stored(both_ways(edges).select("node", "neighbour", "weight", salt), "links")
@@ -77,34 +127,37 @@ def communities(edges: DataFrame, nodes: DataFrame | None = None, rounds: int =
     if nodes is not None:
         every = every.unionByName(nodes.select("node"))
     labels = stored(every.distinct().select("node", F.col("node").alias("label")), "labels")
-    converged = False
+    bits = [F.when(in_second_half("node", t), 1 << t).otherwise(0) for t in range(min(rounds, HALVES))]
+    halves = labels.select("node", sum(bits, F.lit(0)).alias("halves"))
+    lists = by_neighbour(stored(links.join(halves, "node"), "links"), "weight", "halves")
+    few, votes, converged = FEW * labels.count(), None, False
     for turn in range(rounds):
-        moved = False
+        moves = 0
+        second = F.col("halves").bitwiseAND(F.lit(1 << turn)) != 0 if turn < HALVES else in_second_half("node", turn)
         for half in (False, True):
             mine = in_second_half("node", turn) == half
-            shown = labels.select(
-                F.col("node").alias("neighbour"), "label", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-            )
-            votes = (
-                links.filter(mine)
-                .join(shown, ["neighbour", "salt"])
-                .groupBy("node", "label")
-                .agg(F.sum("weight").alias("weight"))
-            )
+            heard = _votes(lists, labels, second == half) if votes is None else votes
             own = labels.filter(mine).select("node", F.col("label").alias("own"))
             rank = F.struct((-F.round("weight", 9)).alias("w"), (F.col("label") != F.col("own")).alias("other"), "label")
-            best = votes.join(own, "node").groupBy("node").agg(F.min(rank)["label"].alias("best"))
-            after = F.coalesce("best", "label")
+            best = heard.join(own, "node").groupBy("node").agg(F.min(rank)["label"].alias("best"))
             labels = stored(
-                labels.select("node", "label")
-                .join(best, "node", "left")
-                .select("node", after.alias("label"), (after != F.col("label")).alias("moved")),
+                labels.select("node", F.col("label").alias("before"))
+                .join(best.withColumnRenamed("best", "label"), "node", "left")
+                .select("node", F.coalesce("label", "before").alias("label"), "before")
+                .withColumn("moved", F.col("label") != F.col("before")),
                 "labels",
             )
-            moved = moved or not labels.filter("moved").isEmpty()
-        if not moved:
+            moved = labels.filter("moved")
+            last = moved.count()
+            moves += last
+            if votes is not None and last:
+                votes = _changed_votes(votes, lists, moved.select("node", "before", "label"))
+        if not moves:
             converged = True
             break
+        if votes is None and moves <= few:
+            votes = stored(_votes(lists, labels), "votes")
+    lists.unpersist()
     return labels.select("node", "label", F.lit(converged).alias("converged"))
 
 

@@ -68,6 +68,31 @@ def test_hub_with_a_third_of_all_edges(spark):
     assert {r.node: r.label for r in got} == propagate(edges, 3)[0]
 
 
+@pytest.mark.parametrize("few", [0, 1])
+def test_kept_votes_give_the_labels_of_fresh_ones(spark, monkeypatch, few):
+    """Votes corrected from the first round on, with repeated links, links of a node with itself, null ends and short lists."""
+    monkeypatch.setattr(graph, "FEW", few)
+    monkeypatch.setattr(graph, "LIST", 3)
+    monkeypatch.setattr(graph, "HALVES", 2)
+    edges = random_edges(7, nodes=40, edges=110) | {(0, i): 0.2 for i in range(40, 90)}
+    rows = [(a, b, w / 2) for (a, b), w in edges.items() for _ in "12"] + [(None, 3, 1.0), (4, None, 1.0)]
+    got = graph.communities(spark.createDataFrame(rows, "src int, dst int, weight double")).collect()
+    labels, settled = propagate(edges, graph.ROUNDS)
+    assert {r.node: r.label for r in got if r.node is not None} == labels and {r.converged for r in got} == {settled}
+
+
+def test_rounds_move_labels_only(spark):
+    """Links lie by neighbour already, so a join with labels moves none of them."""
+    df = graph.both_ways(edge_table(spark, random_edges(3)))
+    lists = graph.by_neighbour(df.withColumn("salt", (df.node * 0).cast("int")), "weight")
+    labels = df.select("node", df.node.alias("label")).distinct()
+    joined = lists.join(graph.shown(labels, "label").hint("merge"), ["neighbour", "salt"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("InMemoryRelation")[0].count("Exchange hashpartitioning(neighbour") == 1
+    assert sum(len(r.near) for r in lists.collect()) == df.count()
+    lists.unpersist()
+
+
 def test_linked_nodes_agree_and_lone_ones_stay(spark):
     nodes = spark.createDataFrame([(9,), (0,)], "node int")
     rows = graph.communities(edge_table(spark, {(0, 1): 1.0}), nodes).collect()
