@@ -21,6 +21,7 @@ from corpusloom.sources import backlog, crawl_text, result_tables, word_lists
 QUERIES = {}
 EXCLUDED_HEAD = 186
 FIT_PARTITIONS = 16
+FIT_ROWS = 50_000
 MONTH = "2015-05"
 SAMPLE_PATHS = 4
 # What the keys of result tables are made of in the key check.
@@ -503,7 +504,7 @@ def kmeans_fit(spark, folder):
     fitted = weights.fit_weighting(docs)
     vectors = stored(fitted.vectors(docs).select("doc_id", "tfidf"), "vectors")
     k, terms = clusters.cluster_count(fitted.documents), len(fitted.terms)
-    model = clusters.fit_kmeans(vectors, k, partitions=FIT_PARTITIONS)
+    model = clusters.fit_kmeans(vectors, k, partitions=max(FIT_PARTITIONS, fitted.documents // FIT_ROWS))
     own = model.transform(vectors).select("doc_id", "tfidf", F.col("prediction").alias("own"))
     at = clusters.nearest_center(own.withColumn("kept", F.col("tfidf")), clusters.model_centers(spark, model), k, terms)
     at = stored(at, "assigned")
