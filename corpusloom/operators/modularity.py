@@ -10,7 +10,7 @@ than the one before.
 
 A level's links(node, neighbour, weight) hold each edge both ways; a link from a
 node to itself carries twice the weight inside it. Edge tables of any size are
-taken: a node's links are joined in parts, votes are summed per (node, label)
+taken: a node's links are joined in parts and lie by neighbour for all rounds of a level, votes are summed per (node, label)
 before the best is picked by a plain minimum, and one row per community carries
 its total degree. Only sums come to the driver.
 """
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from corpusloom.operators.graph import SALTS, both_ways, in_part
+from corpusloom.operators.graph import SALTS, both_ways, by_neighbour, in_part, shown
 from corpusloom.session import stored
 
 LEVELS = 12
@@ -42,13 +42,11 @@ class Communities:
         return self.path.filter(F.col("level") == last).select("node", "label")
 
 
-def _moved(links: DataFrame, state: DataFrame, whole: float, turn: int, part: int) -> DataFrame:
+def _moved(lists: DataFrame, state: DataFrame, whole: float, turn: int, part: int) -> DataFrame:
     """state(node, label, degree) after one part of the nodes has moved, with ``moved``."""
     mine = in_part("node", turn, PARTS) == part
-    shown = state.select(
-        F.col("node").alias("neighbour"), "label", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    )
-    near = links.filter(mine & (F.col("node") != F.col("neighbour"))).join(shown, ["neighbour", "salt"])
+    opened = lists.join(shown(state, "label"), ["neighbour", "salt"]).select("neighbour", "label", F.explode("near").alias("l"))
+    near = opened.select("neighbour", "label", "l.*").filter(mine & (F.col("node") != F.col("neighbour")))
     stay = state.filter(mine).select("node", "label", F.lit(0.0).alias("weight"))
     votes = near.select("node", "label", "weight").unionByName(stay).groupBy("node", "label").agg(F.sum("weight").alias("weight"))
     totals = state.groupBy("label").agg(F.sum("degree").alias("total"))
@@ -99,13 +97,15 @@ def modular_communities(edges: DataFrame, nodes: DataFrame | None = None) -> Com
     for level in range(1, LEVELS + 1):
         state = links.groupBy("node").agg(F.sum("weight").alias("degree"))
         state = stored(state.select("node", F.col("node").alias("label"), "degree", F.lit(False).alias("moved")), "state")
+        lists = by_neighbour(links, "weight")
         for turn in range(ROUNDS):
             moves = 0
             for part in range(PARTS):
-                state = _moved(links, state, whole, turn, part)
+                state = _moved(lists, state, whole, turn, part)
                 moves += state.filter("moved").count()
             if moves <= SETTLED * number:
                 break
+        lists.unpersist()
         labels = state.select("node", "label")
         smaller = _contracted(links, labels)
         fewer, better = _quality(smaller, whole)
