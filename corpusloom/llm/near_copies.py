@@ -36,8 +36,6 @@ empty texts are one class. Null keys are kept; a class is named by its least
 key that is not null, and by the hash of a text.
 """
 
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -54,20 +52,25 @@ BLOCK = 512
 AGREE = 0.66
 BAG = 16_384
 BAG_SLACK = 0.005
-SLICE = 2_000_000
+SLICE = 1_000_000
+POWERS = 1 << 21
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNIT = 1.0 / (1 << 53)
+_POWERS = [np.ones(0, dtype=np.uint64)] * 2
 
 
-@cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+def _powers(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, at least ``size`` of each; a worker keeps two rows of up to ``POWERS``."""
+    if len(_POWERS[0]) >= size:
+        return _POWERS
     out = []
-    for base in (BASE, inverse):
-        steps = np.full(size, base, dtype=np.uint64)
+    for base in (BASE, np.uint64(pow(int(BASE), -1, 1 << 64))):
+        steps = np.full(max(size, 1 << 16), base, dtype=np.uint64)
         steps[0] = 1
         out.append(np.multiply.accumulate(steps))
-    return out[0], out[1]
+    if size <= POWERS:  # a longer text comes alone
+        _POWERS[:] = out
+    return out
 
 
 LETTER = mixed(np.arange(1, 257, dtype=np.uint64) * BASE)
@@ -77,8 +80,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, hash, count) of every distinct shingle, ordered by text and hash."""
     lines = "\n".join(" ".join(t.lower().split()) for t in texts) + "\n"
     letters = np.frombuffer(lines.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    size = 1 << max(16, int(len(letters)).bit_length())
-    up, down = _powers(size)
+    up, down = _powers(len(letters))
     total = np.zeros(len(letters) + 1, dtype=np.uint64)
     np.cumsum(LETTER[letters] * up[: len(letters)], out=total[1:])
     ends = np.flatnonzero((letters == 32) | (letters == 10))

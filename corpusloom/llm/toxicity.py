@@ -7,7 +7,10 @@ a landmark is the sum over its words; the power ``SHARPNESS`` keeps unrelated
 words near nothing. Landmarks are words of the labelled sentences, the most
 telling ones and some common ones, and give the Nyström map in which a linear
 machine is trained. As the map is a sum over words, the trained machine is one
-number per distinct word, which a worker works out once.
+number per distinct word, which a task works out once. A task holds little at a
+time: slices of ``SLICE_BYTES`` of text, blocks of ``BLOCK`` words, the values of
+``CACHED_WORDS`` words and a table of the landmarks' own subsequences. All of
+it goes with the task, as a worker lives on into other stages.
 
 A document's label says that one of its sentences is toxic, not which: the
 machine is trained on all sentences first and then on the worst sentences of
@@ -21,7 +24,6 @@ toxic labels (0 without labels). Repeated rows are scored alike; null labels
 and labels with a null key are not used; of rival labels toxic holds.
 """
 
-import uuid
 from dataclasses import dataclass
 from functools import cache
 
@@ -45,7 +47,9 @@ ALPHABET = 48
 MARKS = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 WORST = 4, 10
 TURNS = 4
-CACHED_WORDS = 350_000
+CACHED_WORDS = 150_000
+SLICE_BYTES = 1_000_000
+BLOCK = 8192
 FEED = "\x01"
 
 
@@ -88,30 +92,43 @@ def _by_length(words: list[str]):
             continue
         places, weights = subsequences(length)
         every = np.flatnonzero(lengths == length)
-        for low in range(0, len(every), 8192):
-            rows = every[low : low + 8192]
+        for low in range(0, len(every), 1024):
+            rows = every[low : low + 1024]
             own = classes[starts[rows][:, None] + np.arange(length)]
             codes = (own[:, places[:, 0]] * ALPHABET + own[:, places[:, 1]]) * ALPHABET + own[:, places[:, 2]]
             yield rows, codes, weights
 
 
 class Kernel:
-    """Kernel values of words with the landmarks, by a table over all subsequences."""
+    """Kernel values of words with the landmarks, by a table over the landmarks' subsequences."""
 
     def __init__(self, landmarks: list[str]):
-        self.table = np.zeros((ALPHABET**3, len(landmarks)), dtype=np.float32)
-        for rows, codes, weights in _by_length(landmarks):
+        found = list(_by_length(landmarks))
+        met = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *(codes.ravel() for _, codes, _ in found)]))
+        self.row = np.zeros(ALPHABET**3, dtype=np.int32)  # 0: no landmark has it
+        self.row[met] = np.arange(1, len(met) + 1)
+        self.table = np.zeros((len(met) + 1, len(landmarks)), dtype=np.float32)
+        for rows, codes, weights in found:
             for row, own in zip(rows.tolist(), codes):
-                np.add.at(self.table[:, row], own, weights)
+                np.add.at(self.table[:, row], self.row[own], weights)
 
     def __call__(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.table.shape[1]), dtype=np.float32)
         for rows, codes, weights in _by_length(words):
             total = np.zeros((len(rows), out.shape[1]), dtype=np.float32)
+            at = self.row[codes]
             for k, weight in enumerate(weights):
-                total += weight * self.table[codes[:, k]]
-            out[rows] = total
-        return out**SHARPNESS
+                total += weight * self.table[at[:, k]]
+            out[rows] = total**SHARPNESS
+        return out
+
+    def times(self, words: list[str], factor: np.ndarray) -> np.ndarray:
+        """The words' kernel values multiplied by a matrix or vector, a block of words at a time."""
+        kind = np.result_type(np.float32, factor)
+        out = np.zeros((len(words), *factor.shape[1:]), dtype=kind)
+        for low in range(0, len(words), BLOCK):
+            out[low : low + BLOCK] = self(words[low : low + BLOCK]) @ factor
+        return out
 
 
 def sentences(texts: pa.Array):
@@ -192,8 +209,8 @@ class Scorer:
     def fresh(self, words: list[str]) -> np.ndarray:
         parts = [windows(w) for w in words]
         if all(len(p) == 1 for p in parts):
-            return self.kernel(words) @ self.model.weights
-        flat = self.kernel([w for p in parts for w in p]) @ self.model.weights
+            return self.kernel.times(words, self.model.weights)
+        flat = self.kernel.times([w for p in parts for w in p], self.model.weights)
         ends = np.cumsum([len(p) for p in parts])
         return np.maximum.reduceat(flat, ends - [len(p) for p in parts])
 
@@ -293,9 +310,9 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
     parts = [windows(w) for w in words]
     sizes = np.array([len(p) for p in parts])
     begins = np.cumsum(sizes) - sizes
-    every = kernel([w for p in parts for w in p]) @ root.astype(np.float32)
+    every = kernel.times([w for p in parts for w in p], root.astype(np.float32))
     owners = np.repeat(np.arange(len(words)), sizes)
-    shown = every[begins]  # a word's window: the first, and after each turn the one of the greatest value, as in scoring
+    shown = begins  # a word's window: the first, and after each turn the one of the greatest value, as in scoring
 
     def features(chosen: np.ndarray) -> np.ndarray:
         """Sums over the words of the chosen sentences."""
@@ -304,25 +321,25 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
         at = row[number]
         keep = np.flatnonzero(at >= 0)
         keep = keep[np.argsort(at[keep], kind="stable")]
-        out = np.zeros((len(chosen), shown.shape[1]))
+        out = np.zeros((len(chosen), every.shape[1]))
         has, begin = np.unique(at[keep], return_index=True)
         for low in range(0, len(has), 2000):
             high = min(low + 2000, len(has))
             stop = begin[high] if high < len(has) else len(keep)
-            block = shown[code[keep[begin[low] : stop]]]
+            block = every[shown[code[keep[begin[low] : stop]]]]
             out[has[low:high]] = np.add.reduceat(block, begin[low:high] - begin[low], axis=0)
         return out
 
     label = toxic[owner]
     spread = np.argsort((np.arange(total) * 2654435761) % (1 << 32), kind="stable")
     chosen = spread[:FIT_SENTENCES]
-    weights, bias = np.zeros(shown.shape[1]), 0.0
+    weights, bias = np.zeros(every.shape[1]), 0.0
     for turn in range(TURNS):
         y = np.where(label[chosen], 1.0, -1.0)
         costs = np.where(label[chosen], 1 / max(1, label[chosen].sum()), 1 / max(1, (~label[chosen]).sum()))
         weights, bias = _machine(features(chosen), y, costs)
         values = every @ weights.astype(np.float32)
-        shown = every[np.lexsort((-values, owners))[begins]]
+        shown = np.lexsort((-values, owners))[begins]
         margins = bias + np.bincount(number, weights=np.maximum.reduceat(values, begins)[code], minlength=total)
         # the worst sentences of each toxic and of each clean document
         order = np.lexsort((-margins, owner))
@@ -355,26 +372,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return train(["" if t is None else t for t in rows["text"].to_pylist()], rows["toxic"].to_numpy() == 1)
 
 
-_SCORERS: dict = {}
-
-
-def _scorer(number: str, shared) -> Scorer:
-    """The worker's scorer of a broadcast model."""
-    if number not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[number] = shared.value.scorer()
-    return _SCORERS[number]
+def _score_slices(batches, model: Model):
+    """(slice, scores of its texts) in turn; what a worker needs for them goes with the task."""
+    scorer = model.scorer()
+    for batch in slices(batches, limit=SLICE_BYTES):
+        yield batch, scorer.scores(batch.column("text"))
+    del scorer
+    pa.default_memory_pool().release_unused()
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    number = uuid.uuid4().hex
 
     def run(batches):
-        scorer = _scorer(number, shared)
-        for batch in slices(batches):
-            score = scorer.scores(batch.column("text"))
+        for batch, score in _score_slices(batches, shared.value):
             columns = [batch.column("doc_id"), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "predicted"])
 
@@ -386,11 +398,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The documents, with all their columns, whose score is under the threshold."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    number = uuid.uuid4().hex
 
     def run(batches):
-        scorer = _scorer(number, shared)
-        for batch in slices(batches):
-            yield batch.filter(pa.array(scorer.scores(batch.column("text")) < THRESHOLD))
+        for batch, score in _score_slices(batches, shared.value):
+            yield batch.filter(pa.array(score < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)

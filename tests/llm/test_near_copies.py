@@ -187,3 +187,19 @@ def test_one_of_each_keeps_columns_of_any_name(spark, docs):
     left = near.one_of_each(rows)
     assert left.columns == rows.columns
     assert sorted(r.doc_id for r in left.collect()) == [1, 3] and {r["__own"] for r in left.collect()} == {"own __own"}
+
+
+def test_powers_for_texts_of_all_sizes_are_kept_once(monkeypatch):
+    """Before, a worker kept rows of powers for every size that it met."""
+    monkeypatch.setattr(near, "_POWERS", [np.ones(0, dtype=np.uint64)] * 2)
+    text = "one two three four five six " * 40_000
+    for size in (100, 50_000, 500_000, len(text), 70_000):
+        alone = near.shingles([text[:size]])
+        after = near.shingles(["x " * 30_000, text[:size]])
+        own = after[0] == 1
+        assert all(np.array_equal(a, b[own]) for a, b in zip(alone[1:], after[1:]))
+    held = sum(p.nbytes for p in near._POWERS)
+    assert 16 * len(text) <= held <= 17 * (len(text) + 60_001)
+    longest = near._powers(near.POWERS + 1)  # made for one text, not kept
+    assert len(longest[0]) > near.POWERS and held == sum(p.nbytes for p in near._POWERS)
+    assert all(np.array_equal(a[:1000], b[:1000]) for a, b in zip(longest, near._POWERS))

@@ -1,5 +1,6 @@
 """Toxicity: held-out accuracy, gapped and inserted letters, odd inputs."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -84,3 +85,37 @@ def test_long_words_are_learnt_by_all_their_windows():
     assert scores[toxic].min() > scores[~toxic].max()
     fresh = toxicity.train(texts, toxic).scorer().scores(pa.array([f"a note {padding}worthless", f"a note {padding}"]))
     assert fresh[0] >= toxicity.THRESHOLD > fresh[1]
+
+
+def test_scoring_holds_little_memory():
+    """Many distinct long words: before, their values and the table took over 150 MB of a worker."""
+    rng = np.random.default_rng(3)
+    landmarks = ["".join(w) for w in rng.choice(list("abcdefghij"), size=(116, 8))]
+    model = toxicity.Model(landmarks, np.ones(116), 0.0, np.zeros(5))
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), size=(40_000, 20))]
+    texts = pa.array([" ".join(words[i : i + 400]) + "." for i in range(0, len(words), 400)])
+    tracemalloc.start()
+    scorer = model.scorer()
+    scorer.scores(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+    assert list(scorer.known) == words
+
+
+def test_a_table_of_few_subsequences_gives_the_same_values():
+    words = ["worthless", "worthles", "wor-thless", "weather", "ab", "", "日本語のテスト", "aaaaaaaaaaaaaaaaaaaa"]
+    kernel = toxicity.Kernel(["worthless", "weather", "日本語のテスト"])
+    factor = np.arange(6, dtype=np.float64).reshape(3, 2)
+    assert np.allclose(kernel.times(words * 3000, factor), np.tile(kernel(words) @ factor, (3000, 1)))
+    assert toxicity.Kernel([])(words).shape == (8, 0) and kernel([]).shape == (0, 3)
+
+
+def test_workers_keep_no_words_after_a_task():
+    """A worker goes on to other stages; what scoring needed goes with its task."""
+    text = pa.array(["a calm and quiet day", None])
+    batch = pa.RecordBatch.from_arrays([text], ["text"])
+    model = toxicity.Model(["quiet", "day"], np.ones(2), 0.0, np.ones(5))
+    (part, score), = toxicity._score_slices([batch], model)
+    assert part.equals(batch) and np.array_equal(score, model.scorer().scores(text))
+    assert not any(isinstance(v, (dict, toxicity.Scorer)) and v for k, v in vars(toxicity).items() if not k.startswith("__"))
