@@ -369,7 +369,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = texts.join(sample, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic").toArrow()
     rows = rows.sort_by("doc_id")
-    return train(["" if t is None else t for t in rows["text"].to_pylist()], rows["toxic"].to_numpy() == 1)
+    own, toxic = ["" if t is None else t for t in rows["text"].to_pylist()], rows["toxic"].to_numpy() == 1
+    del rows
+    pa.default_memory_pool().release_unused()
+    model = train(own, toxic)
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def _score_slices(batches, model: Model):
