@@ -15,7 +15,7 @@ from corpusloom.operators import clusters, documents, graph, language, modularit
 from corpusloom.plans import inputs
 from corpusloom.plans.clustering_run import save_model, score_documents
 from corpusloom.plans.inputs import english, table, texts
-from corpusloom.session import scratch_path, stored
+from corpusloom.session import Shelf, freed_shuffles, scratch_path, stored
 from corpusloom.sources import backlog, crawl_text, result_tables, word_lists
 
 QUERIES = {}
@@ -670,7 +670,9 @@ def document_edges(spark, folder):
     Documents keep their id, terms count down from -1.
     """
     docs = english(spark, folder)
-    rows = weights.fit_weighting(docs).weights(docs).filter("w > 0")
+    with freed_shuffles(spark):
+        fitted = weights.fit_weighting(docs)
+    rows = fitted.weights(docs).filter("w > 0")
     return rows.select(
         F.col("doc_id").alias("src"),
         (F.lit(-1) - F.col("idx")).cast("bigint").alias("dst"),
@@ -685,12 +687,15 @@ def cluster_communities(spark, folder):
 
 @query("R4_document_communities")
 def document_communities(spark, folder):
-    return graph.communities(document_edges(spark, folder))
+    shelf = Shelf(spark)
+    found = graph.communities(shelf.put("edges", document_edges(spark, folder)))
+    shelf.drop("edges")
+    return found
 
 
 @query("R5_modularity")
 def propagated_modularity(spark, folder):
-    edges = stored(document_edges(spark, folder), "edges")
+    edges = Shelf(spark).put("edges", document_edges(spark, folder))
     labels = graph.communities(edges)
     settled = labels.agg(F.min("converged")).first()[0]
     return graph.modularity(edges, labels).withColumn("converged", F.lit(settled))
@@ -699,11 +704,11 @@ def propagated_modularity(spark, folder):
 @query("R4_modular_communities")
 def modular_communities(spark, folder):
     """Communities by modularity of documents and terms: that levels rise and nest, and that their modularity is that of their labels."""
-    edges = stored(document_edges(spark, folder), "edges")
+    edges = Shelf(spark).put("edges", document_edges(spark, folder))
     found = modularity.modular_communities(edges)
     values = [r.modularity for r in found.levels.orderBy("level").collect()]  # a row per level, at most 13
     checked = graph.modularity(edges, found.labels()).first()
-    upper = found.path.select("node", (F.col("level") - 1).alias("level"), F.col("label").alias("above"))
+    upper = found.path.select("node", (F.col("level") - 1).alias("level"), F.col("label").alias("above")).hint("merge")
     parents = found.path.join(upper, ["node", "level"]).groupBy("level", "label").agg(F.countDistinct("above").alias("n"))
     return edges.select(F.explode(F.array("src", "dst")).alias("node"), (F.col("weight") / 2).alias("weight")).agg(
         F.countDistinct("node").alias("nodes"),
