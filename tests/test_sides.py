@@ -3,7 +3,10 @@
 import os
 import random
 
+import pytest
+
 from corpusloom.operators import graph
+from corpusloom.operators.modularity import modular_communities
 from corpusloom.session import Shelf, shared_folder
 from test_graph import edge_table, propagate, random_edges
 
@@ -80,6 +83,22 @@ def test_no_broadcast_between_any_nodes(spark):
     lists.unpersist()
 
 
+@pytest.mark.parametrize("shown", [graph.MOST_SHOWN, 0])
+def test_modularity_of_documents_and_terms(spark, monkeypatch, shown):
+    """The same communities either way; only their paths stay in the shared folder."""
+    monkeypatch.setattr(graph, "MOST_SHOWN", shown)
+    rows = [(a, b, w) for (a, b), w in documents_and_terms(5, 30, 10, 3).items()] + [(3, -1, 0.4), (None, -2, 1.0), (4, None, 1.0)]
+    edges = spark.createDataFrame(rows, "src int, dst int, weight double")
+    before = folders(spark)
+    found = modular_communities(edges.filter("src + dst IS NOT NULL"), spark.createDataFrame([(900,)], "node int"))
+    labels = {r.node: r.label for r in found.labels().collect()}
+    levels = [(r.communities, round(r.modularity, 9)) for r in found.levels.orderBy("level").collect()]
+    assert kinds(spark, before) == ["path"] * len(levels) and len(levels) > 1 and labels[900] == 900
+    assert graph.modularity(edges, found.labels()).first().modularity == pytest.approx(levels[-1][1])
+    first = test_modularity_of_documents_and_terms.__dict__.setdefault("first", (labels, levels))
+    assert first == (labels, levels)
+
+
 def test_a_newer_table_replaces_the_older(spark):
     before, shelf = folders(spark), Shelf(spark)
     for n in (1, 2, 3):
