@@ -99,6 +99,16 @@ def test_modularity_of_documents_and_terms(spark, monkeypatch, shown):
     assert first == (labels, levels)
 
 
+def test_modularity_sums_edges_before_they_meet_the_many_labels(spark):
+    """The labels of the many nodes were broadcast, or all edges shuffled twice."""
+    edges = edge_table(spark, documents_and_terms(6))
+    labels = graph.ends(edges).select("node", (graph.F.col("node") % 3).alias("label"))
+    plan = graph.modularity(edges, labels)._jdf.queryExecution().executedPlan().toString()
+    names = [word for word in plan.replace("(", " ").split() if word in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin")]
+    assert names[0] == "SortMergeJoin" and "sum(weight" in plan.partition("SortMergeJoin")[2]
+    assert "LeftSemi" in plan.partition("SortMergeJoin")[2].partition("BroadcastExchange")[2]
+
+
 def test_a_newer_table_replaces_the_older(spark):
     before, shelf = folders(spark), Shelf(spark)
     for n in (1, 2, 3):
